@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
+from . import langid, packing, quality, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,9 +18,26 @@ def op1_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_read(spark, sf_dir, "documents"))
 
 
+def op3_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.topk(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality_divergence": op1_quality_divergence}
+    return {
+        "op1_quality_divergence": op1_quality_divergence,
+        "op3_language_bayes": op3_language_bayes,
+        "op9_exact_topk": op9_exact_topk,
+        "op10_bestfit_packing": op10_bestfit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_topk": topk.ORACLE}
