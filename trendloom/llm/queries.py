@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, topk
+from . import langid, neardup, packing, quality, suffixdedup, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op3_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.repeats(_read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.topk(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -34,6 +42,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_divergence": op1_quality_divergence,
         "op3_language_bayes": op3_language_bayes,
+        "op4_minhash_neardup": op4_minhash_neardup,
+        "op7_suffix_repeats": op7_suffix_repeats,
         "op9_exact_topk": op9_exact_topk,
         "op10_bestfit_packing": op10_bestfit_packing,
     }
