@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, neardup, packing, quality, suffixdedup, topk
+from . import langid, mixing, neardup, packing, quality, suffixdedup, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_read(spark, sf_dir, "documents"))
 
 
+def op2_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_read(spark, sf_dir, "documents"))
+
+
 def op3_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_divergence": op1_quality_divergence,
+        "op2_hierarchical_mix": op2_hierarchical_mix,
         "op3_language_bayes": op3_language_bayes,
         "op4_minhash_neardup": op4_minhash_neardup,
         "op7_suffix_repeats": op7_suffix_repeats,
@@ -50,4 +55,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": topk.ORACLE}
+    return {"op2_hierarchical_mix": mixing.oracle(), "op9_exact_topk": topk.ORACLE}
