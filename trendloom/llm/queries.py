@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neardup, packing, quality, suffixdedup, topk
+from . import htmltext, langid, mixing, neardup, packing, quality, suffixdedup, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,10 +30,18 @@ def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op6_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.repeats(_read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_lineblock_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_read(spark, sf_dir, "pages"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.topk(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -48,7 +56,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_hierarchical_mix": op2_hierarchical_mix,
         "op3_language_bayes": op3_language_bayes,
         "op4_minhash_neardup": op4_minhash_neardup,
+        "op6_channel_toxicity": op6_channel_toxicity,
         "op7_suffix_repeats": op7_suffix_repeats,
+        "op8_lineblock_html": op8_lineblock_html,
         "op9_exact_topk": op9_exact_topk,
         "op10_bestfit_packing": op10_bestfit_packing,
     }
