@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +41,10 @@ def materialize(df: DataFrame, tag: str, partition_by: list[str] | None = None)
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the Arrow batches that Python workers get; never raises a smaller setting."""
+    """Bound the Arrow batches that Python workers get, never raising a smaller setting, and let workers import this package."""
+    env, home = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if home not in (paths := env.get("PYTHONPATH", "").split(":")):
+        env["PYTHONPATH"] = ":".join(filter(None, [*paths, home]))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))

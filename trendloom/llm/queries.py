@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, mixing, neardup, packing, quality, suffixdedup, topk, toxicity
+from . import htmltext, langid, mixing, neardup, packing, pii, quality, suffixdedup, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_read(spark, sf_dir, "documents"))
+
+
 def op6_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_hierarchical_mix": op2_hierarchical_mix,
         "op3_language_bayes": op3_language_bayes,
         "op4_minhash_neardup": op4_minhash_neardup,
+        "op5_disclosure_pii": op5_disclosure_pii,
         "op6_channel_toxicity": op6_channel_toxicity,
         "op7_suffix_repeats": op7_suffix_repeats,
         "op8_lineblock_html": op8_lineblock_html,
