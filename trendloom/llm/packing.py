@@ -36,7 +36,7 @@ class PackingParams:
     #: A file of the `tokenizers` library that all executors can read; its pre-tokenizer is byte-level with the usual pattern.
     tokenizer_path: str | None = None
     #: Pieces that one sub-bucket of a length holds, about.
-    bucket_rows: int = 50_000
+    bucket_rows: int = 1_000
     #: Words whose ids a worker remembers; it starts anew beyond that.
     cache_words: int = 400_000
 
@@ -234,11 +234,11 @@ def pack(docs: DataFrame, params: PackingParams | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     p = params or PackingParams()
     got = materialize(pieces(docs, p), "pieces")
-    n = got.count()
-    buckets = max(1, n // p.bucket_rows + 1)
-    got = got.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    spark = docs.sparkSession
+    histogram = {r.length: r.n for r in got.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
+    parts = F.broadcast(spark.createDataFrame([(k, n // p.bucket_rows + 1) for k, n in histogram.items()], "length long, parts long"))
+    got = got.join(parts, "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), "parts")).drop("parts")
     counts = got.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
