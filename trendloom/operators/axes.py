@@ -28,19 +28,20 @@ def styling():
     return F.when(C.is_true(F.col("dress_as_single")), "standalone").when(C.is_true(F.col("is_co_ord_set")), "co_ord_set").otherwise(F.coalesce(lower, outer))
 
 
-_ITEM = Window.partitionBy("item_id")
+def _per_item():
+    return Window.partitionBy("item_id")
 
 
 def item_mass(groups: DataFrame) -> DataFrame:
     """Adds g_total, the log of an item's objects, and g_share, each group's slice of it."""
-    total = F.log2(F.sum("n_objects").over(_ITEM) + F.lit(1.0))
-    return groups.withColumn("g_total", total).withColumn("g_share", total * C.ratio(F.col("weight"), F.sum("weight").over(_ITEM)))
+    total = F.log2(F.sum("n_objects").over(_per_item()) + F.lit(1.0))
+    return groups.withColumn("g_total", total).withColumn("g_share", total * C.ratio(F.col("weight"), F.sum("weight").over(_per_item())))
 
 
 def fanout_normalized(groups: DataFrame) -> DataFrame:
     """item_id, cluster, share: groups without either axis leave before the total; shares of an item sum to 1."""
     known = groups.filter(F.col("is_ethnic") & (F.col("garment").isNotNull() | F.col("fabric").isNotNull()))
-    share = C.ratio(F.col("weight"), F.sum("weight").over(_ITEM))
+    share = C.ratio(F.col("weight"), F.sum("weight").over(_per_item()))
     each = known.select("item_id", C.cluster_key(F.col("garment"), F.col("fabric")).alias("cluster"), share.alias("share"))
     return each.groupBy("item_id", "cluster").agg(F.sum("share").alias("share")).filter("share > 0")
 
