@@ -38,8 +38,8 @@ FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
 TAGS = """
 SELECT CAST(l.l_orderkey AS STRING) AS item_id, row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) AS pos,
        CASE l.l_partkey % 16 WHEN 0 THEN '#KurtaSet' WHEN 1 THEN '#saree' WHEN 2 THEN '#cottonkurta' WHEN 3 THEN 'love' WHEN 4 THEN '#reelsindia' WHEN 5 THEN '#haul'
-         WHEN 6 THEN '#blockprint' WHEN 7 THEN '##Diwali' WHEN 8 THEN '#ootd' WHEN 9 THEN '#palazzo' WHEN 10 THEN '#akshayatritiya' ELSE concat('#new', CAST(l.l_partkey % 400 AS STRING)) END AS tag
-FROM {lineitem} l
+         WHEN 6 THEN '#blockprint' WHEN 7 THEN '##Diwali' WHEN 8 THEN '#ootd' WHEN 9 THEN '#palazzo' WHEN 10 THEN '#akshayatritiya' ELSE concat('#new', CAST(extract(year FROM o.o_orderdate) * 100 + extract(month FROM o.o_orderdate) AS STRING)) END AS tag
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 """
 
 #: What is said of an item in words.
