@@ -139,3 +139,42 @@ def quality(docs: DataFrame, params: QualityParams | None = None) -> DataFrame:
     j = j.withColumn("class_distance", class_distance).withColumn("word_distance", word_distance)
     far = (F.coalesce("class_distance", F.lit(0.0)) > p.max_class_distance) | (F.coalesce("word_distance", F.lit(0.0)) > p.max_word_distance)
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance", "ref_lang")
+
+
+def oracle(p: QualityParams | None = None) -> str:
+    """The contract's columns in DuckDB SQL."""
+    p = p or QualityParams()
+    vocab = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in p.common_words.items()) + " END"
+    ws = "[^\\x20\\x09-\\x0D]+"
+    count = lambda keep: f"length(regexp_replace(t, '[^{keep}]+', '', 'g'))"
+
+    def distance(a: str, b: str) -> str:
+        x, y = f"({a}[i] / list_sum({a}))", f"({b}[i] / list_sum({b}))"
+        part = lambda u: f"CASE WHEN {u} > 0 THEN 0.5 * {u} * log2({u} / (({x} + {y}) / 2)) ELSE 0 END"
+        return f"CASE WHEN list_sum({a}) > 0 AND list_sum({b}) > 0 THEN sqrt(greatest(0, list_sum(list_transform(range(1, len({a}) + 1), lambda i: {part(x)} + {part(y)})))) END"
+
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, CASE WHEN lang IN {tuple(p.common_words)} THEN lang ELSE 'und' END AS ref_lang,
+         {vocab} AS vocab, regexp_extract_all(coalesce(text, ''), '{ws}') AS w FROM documents),
+g AS (SELECT rid, unnest(range(1, len(w) - {SHINGLE - 2})) AS i FROM d WHERE len(w) > {SHINGLE}),
+r AS (SELECT rid, i FROM (SELECT g.rid, g.i, count(*) OVER (PARTITION BY g.rid, w[g.i : g.i + {SHINGLE - 1}]) AS c FROM g JOIN d USING (rid)) WHERE c > 1),
+cov AS (SELECT rid, sum(k) AS n FROM (SELECT rid, least({SHINGLE}, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, {SHINGLE})) AS k FROM r) GROUP BY rid),
+f AS (
+  SELECT d.rid, doc_id, ref_lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) AS n_chars, {count("#*$%&|<>")} AS n_symbols,
+         len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{ws}'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{ws}')))) AS n_dup_lines,
+         coalesce(cov.n, 0) AS n_repeat_words, {count("\\p{Lu}")} AS up, {count("\\p{Ll}")} AS lo, {count("0-9")} AS di, {count(".,;:!?''\"()\\-")} AS pu,
+         list_transform(vocab, lambda v: len(list_filter(w, lambda x: lower(x) = v))) AS common
+  FROM d LEFT JOIN cov USING (rid)),
+q AS (
+  SELECT *, [up, lo, di, pu, n_symbols, n_chars - word_chars, word_chars - up - lo - di - pu - n_symbols]::DOUBLE[] AS c, list_append(common, n_words - list_sum(common))::DOUBLE[] AS m,
+         n_words < {p.min_words} OR 100 * n_repeat_words > {p.max_repeat_percent} * n_words AS base_failed FROM f),
+ref AS (
+  SELECT ref_lang, [{", ".join(f"sum(c[{i + 1}])" for i in range(len(CLASSES)))}] AS rc, [{", ".join(f"sum(m[{i + 1}])" for i in range(N_COMMON + 1))}] AS rm
+  FROM q WHERE NOT base_failed AND n_chars >= {p.min_class_chars} GROUP BY ref_lang),
+j AS (
+  SELECT q.*, CASE WHEN n_chars >= {p.min_class_chars} THEN {distance("c", "rc")} END AS cd, CASE WHEN n_words >= {p.min_common_words} AND ref_lang <> 'und' THEN {distance("m", "rm")} END AS wd
+  FROM q LEFT JOIN ref USING (ref_lang))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND coalesce(cd, 0) <= {p.max_class_distance} AND coalesce(wd, 0) <= {p.max_word_distance} AS kept FROM j
+"""
