@@ -50,3 +50,12 @@ def signals(cleaned: DataFrame, anchor: date, dense: float = 0.5) -> DataFrame:
 def signal_type(sources):
     """Hashtag first, otherwise the alphabetically first vision kind."""
     return F.when(F.array_contains(sources, "hashtag"), "hashtag").otherwise(F.array_min(F.filter(sources, lambda s: s.startswith("vision_"))))
+
+
+def weekly_signals(cleaned: DataFrame, weeks: list[date], dense: float = 0.5) -> DataFrame:
+    """Signals at the Sunday of each of the given weeks (Mondays), evaluated on the full history."""
+    out = None
+    for monday in weeks:
+        one = signals(cleaned, monday + timedelta(days=6), dense).withColumn("week", F.lit(monday))
+        out = one if out is None else out.unionByName(one)
+    return out
