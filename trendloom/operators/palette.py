@@ -61,14 +61,23 @@ def group_palettes(rows: DataFrame, by: str, threshold: float = 10.0, least: flo
     own = binned_colors(rows, by).select(by, "hex", "weight", *[c.alias(n) for c, n in zip(lab, ("l", "a", "b"), strict=True)])
     own = own.withColumn("family", color.family(F.col("l"), F.col("a"), F.col("b")))
 
-    def palette(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["weight", "hex"], ascending=[False, True])
-        lab, weight, family = merge_colors(pdf[["l", "a", "b"]].to_numpy(), pdf["weight"].to_numpy(), pdf["family"].tolist(), threshold)
-        at = largest(weight, least, k)
-        share = weight[at] / weight[at].sum() if len(at) else weight[at]
-        return pd.DataFrame({by: pdf[by].iloc[0] if len(pdf) else None, "rank": np.arange(1, len(at) + 1, dtype=np.int32), "family": [family[x] for x in at], "l": lab[at, 0], "a": lab[at, 1], "b": lab[at, 2], "share": share})
-
-    return own.groupBy(by).applyInPandas(palette, own.select(by).schema.add("rank", "integer").add("family", "string").add("l", "double").add("a", "double").add("b", "double").add("share", "double"))
+    colors = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("w"), "hex", "l", "a", "b", "family")))  # a group's different colours
+    grouped = own.groupBy(by).agg(colors.alias("colors"))
+    schema = own.select(by).schema.add("rank", "integer").add("family", "string").add("l", "double").add("a", "double").add("b", "double").add("share", "double")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for name, own_colors in zip(pdf[by], pdf["colors"], strict=True):
+                points = np.array([(c["l"], c["a"], c["b"]) for c in own_colors])
+                lab, weight, family = merge_colors(points, -np.array([c["w"] for c in own_colors]), [c["family"] for c in own_colors], threshold)
+                at = largest(weight, least, k)
+                total = weight[at].sum()
+                out += [(name, n, family[x], *lab[x].tolist(), weight[x] / total) for n, x in enumerate(at.tolist(), 1)]
+            if out:
+                yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+
+    return grouped.mapInPandas(run, schema)
 
 
 def kmeans(points: np.ndarray, weight: np.ndarray, k: int, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
