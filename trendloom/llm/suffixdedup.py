@@ -7,9 +7,10 @@ prefix (which entries match matters here, not the alphabet), and the order is de
 each shard batches of suffixes get sorted arrays, each new one is merge-scanned against the existing levels for
 matches, and levels of equal size merge, so that level sizes are geometric.
 
-Matches become a bitmap of bounded size. Anchors that it lets through carry their surroundings (at most
-2 * length - k bytes), meet the other places of the same prefix, and the exact extent of the repeats around them is
-read off the hashes of all strings of `length` bytes that hold the anchor. Prefixes with very many different
+Matches become a bitmap of bounded size. Anchors that it lets through are counted by prefix and by their surroundings
+(the bytes of all strings of `length` bytes that hold the anchor): surroundings found twice are repeats as a whole. Of
+prefixes that also have surroundings found once, one anchor of each surroundings sends its bytes, and the exact extent
+of the repeats is read off the hashes of all the strings that hold the anchor. Prefixes with very many different
 surroundings are resolved by a combinable count of those hashes instead, so no task holds them all.
 
 Nulls, empties: null text is empty; texts shorter than `length` lose nothing; a null doc_id is an ordinary value;
@@ -25,9 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, _powers, materialize, mix, prefix_sums, small_batches, text_slices
-
-_POS_BITS = 40
+from .common import _BYTE, _powers, checked_broadcast, materialize, mix, prefix_sums, small_batches, span_hashes, text_slices
 
 
 @dataclass(frozen=True)
@@ -144,24 +143,81 @@ def _bitmap(docs: DataFrame, shards: int, seg: int, p: SuffixParams):
     return out
 
 
+def _places(version: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each anchor."""
+    return mix(version + pos.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _occurrences(docs: DataFrame, bitmap, shards: int, seg: int, p: SuffixParams) -> DataFrame:
+    """key, around (a hash of the surroundings), place, doc_id, version, pos of each anchor that the bitmap lets through."""
+    import pyarrow as pa
+    from pyspark.sql.types import IntegerType, LongType
+
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    before = p.length - p.anchor
+    schema = docs.select("doc_id", "version").schema
+    for name, kind in (("key", LongType()), ("around", LongType()), ("place", LongType()), ("pos", IntegerType())):
+        schema = schema.add(name, kind)
+
+    def run(batches):
+        for batch in batches:
+            versions = batch.column("version").to_numpy(zero_copy_only=False).view(np.uint64)
+            for i, _, buf, offs in text_slices(batch.column("text")):
+                place, keys, row = anchors(buf, offs, p)
+                ok = _passes(sent.value, keys, shards, seg)
+                place, keys, row = place[ok], keys[ok], row[ok]
+                first, end = np.maximum(offs[row], place - before), np.minimum(offs[row + 1], place + p.length)
+                around = mix(span_hashes(prefix_sums(buf), first, end) + (place - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                at, pos = pa.array(row + i), place - offs[row]
+                arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), *(pa.array(x.view(np.int64)) for x in (keys, around, _places(versions[row + i], pos))), pa.array(pos.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
+
+    return docs.select("doc_id", "version", "text").mapInArrow(run, schema)
+
+
+def _passes(bitmap: np.ndarray, h: np.ndarray, shards: int, seg: int) -> np.ndarray:
+    bit = (mix(h) % np.uint64(seg)).astype(np.int64)
+    return (bitmap[_shard(h, shards), bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _place_bitmap(places: DataFrame, shards: int, seg: int) -> np.ndarray:
+    """The bitmap of chosen anchors, each shard's segment made by one task."""
+    import pyarrow as pa
+
+    def run(batches):
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            h = batch.column("place").to_numpy().view(np.uint64)
+            shard, bit = _shard(h, shards), (mix(h) % np.uint64(seg)).astype(np.int64)
+            for n in np.unique(shard).tolist():
+                made.setdefault(n, np.zeros(seg, bool))[bit[shard == n]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int64()), pa.array([np.packbits(x).tobytes() for x in made.values()], pa.binary())], names=["shard", "bits"])
+
+    shard = F.shiftrightunsigned(F.shiftrightunsigned("place", 32) * F.lit(shards), 32)
+    found = places.select("place", shard.alias("shard")).repartition(min(shards, 4096), "shard").select("place").mapInArrow(run, "shard long, bits binary")
+    out = np.zeros((shards, seg // 8), np.uint8)
+    for r in found.collect():  # a bitmap, at most max_bitmap_bytes
+        out[r.shard] |= np.frombuffer(r.bits, np.uint8)
+    return out
+
+
 def _surroundings(docs: DataFrame, bitmap, shards: int, seg: int, p: SuffixParams) -> DataFrame:
-    """key, doc_id, version, pos, left, right, around of each anchor that the bitmap lets through."""
+    """key, doc_id, version, pos, left, right, around (bytes) of the anchors that were chosen, and hardly any others."""
     import pyarrow as pa
     from pyspark.sql.types import BinaryType, IntegerType, LongType
 
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
     before, width = p.length - p.anchor, 2 * p.length - p.anchor
     schema = docs.select("doc_id", "version").schema
-    for name, kind in (("key", LongType()), ("pos", LongType()), ("left", IntegerType()), ("right", IntegerType()), ("around", BinaryType())):
+    for name, kind in (("key", LongType()), ("pos", IntegerType()), ("left", IntegerType()), ("right", IntegerType()), ("around", BinaryType())):
         schema = schema.add(name, kind)
 
     def run(batches):
-        flat = sent.value
         for batch in batches:
+            versions = batch.column("version").to_numpy(zero_copy_only=False).view(np.uint64)
             for i, _, buf, offs in text_slices(batch.column("text")):
                 place, keys, row = anchors(buf, offs, p)
-                bit = (mix(keys) % np.uint64(seg)).astype(np.int64)
-                ok = (flat[_shard(keys, shards), bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+                ok = _passes(sent.value, _places(versions[row + i], place - offs[row]), shards, seg)
                 place, keys, row = place[ok], keys[ok], row[ok]
                 for s in range(0, len(place), 20_000):
                     a, k, r = place[s : s + 20_000], keys[s : s + 20_000], row[s : s + 20_000]
@@ -170,7 +226,7 @@ def _surroundings(docs: DataFrame, bitmap, shards: int, seg: int, p: SuffixParam
                     blob = pa.Array.from_buffers(pa.binary(), len(a), [None, offsets, pa.py_buffer(around.tobytes())])
                     at = pa.array(r + i)
                     left, right = np.minimum(before, a - offs[r]), np.minimum(p.length, offs[r + 1] - a)
-                    arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), pa.array(k.view(np.int64)), pa.array(a - offs[r]), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), blob]
+                    arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), pa.array(k.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in (a - offs[r], left, right)), blob]
                     yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
     return docs.select("doc_id", "version", "text").mapInArrow(run, schema)
@@ -180,11 +236,13 @@ def window_hashes(around: np.ndarray, left: np.ndarray, right: np.ndarray, p: Su
     """(hashes, validity), rows x (length - anchor + 1): column L is the string that begins L bytes before the anchor."""
     before = p.length - p.anchor
     power, inverse = _powers(around.shape[1] + 1)
-    sums = np.zeros((len(around), around.shape[1] + 1), np.uint64)
-    np.cumsum(_BYTE[around] * power[: around.shape[1]], axis=1, out=sums[:, 1:])
-    at = before - np.arange(before + 1)
-    hashes = mix((sums[:, at + p.length] - sums[:, at]) * inverse[at])
-    reach = np.arange(before + 1)
+    at, reach = before - np.arange(before + 1), np.arange(before + 1)
+    hashes = np.empty((len(around), before + 1), np.uint64)
+    for i in range(0, len(around), 2_000):  # the prefix sums are eight times the bytes
+        part = around[i : i + 2_000]
+        sums = np.zeros((len(part), around.shape[1] + 1), np.uint64)
+        np.cumsum(_BYTE[part] * power[: around.shape[1]], axis=1, out=sums[:, 1:])
+        hashes[i : i + 2_000] = mix((sums[:, at + p.length] - sums[:, at]) * inverse[at])
     return hashes, (reach <= left[:, None]) & (p.length - reach <= right[:, None])
 
 
@@ -205,9 +263,9 @@ def _as_matrix(column) -> np.ndarray:
 def _resolve(near: DataFrame, p: SuffixParams) -> DataFrame:
     """doc_id, version, start, end from anchors that are partitioned and sorted by key."""
     import pyarrow as pa
-    from pyspark.sql.types import LongType
+    from pyspark.sql.types import IntegerType
 
-    schema = near.select("doc_id", "version").schema.add("start", LongType()).add("end", LongType())
+    schema = near.select("doc_id", "version").schema.add("start", IntegerType()).add("end", IntegerType())
 
     def solve(table):
         key = table.column("key").to_numpy()
@@ -230,7 +288,7 @@ def _resolve(near: DataFrame, p: SuffixParams) -> DataFrame:
             dup[ok] = twin
             rows, start, end = _extents(dup, part.column("pos").to_numpy(), p)
             at = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("version").take(at), pa.array(start), pa.array(end)], names=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("version").take(at), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=[f.name for f in schema.fields])
 
     def _parts(table):
         """Whole groups, some thousand rows at a time."""
@@ -283,7 +341,7 @@ def _resolve_hot(hot: DataFrame, p: SuffixParams) -> DataFrame:
     by = ["key", "reach", "h"]
     twice = each.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1").select(*by)
     found = each.join(twice, by, "left_semi").groupBy("doc_id", "version", "key", "pos").agg(F.max("reach").alias("hi"), F.min("reach").alias("lo"))
-    return found.select("doc_id", "version", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + p.length).alias("end"))
+    return found.select("doc_id", "version", (F.col("pos") - F.col("hi")).cast("int").alias("start"), (F.col("pos") - F.col("lo") + p.length).cast("int").alias("end"))
 
 
 def repeats(docs: DataFrame, params: SuffixParams | None = None) -> DataFrame:
@@ -294,22 +352,28 @@ def repeats(docs: DataFrame, params: SuffixParams | None = None) -> DataFrame:
     p = params or SuffixParams()
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("version", F.xxhash64("text"))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("version", F.xxhash64("doc_id", "text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = 2 * total // (p.length - p.anchor + 2) + 1
     shards = min(1 << 20, int(expected // p.shard_keys) + 1)
     seg = p.segment_bits
     while shards * seg // 8 > p.max_bitmap_bytes and seg > 64:
         seg //= 2
-    bitmap = _bitmap(docs, shards, seg, p)
-    near = materialize(_surroundings(docs, bitmap, shards, seg, p), "surroundings")
-    hot = near.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > p.group_rows).select("key")
-    hot = materialize(hot, "hot")
-    is_hot = near.join(hot, "key", "left_semi")
-    ordinary = near.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key")
-    spans = _resolve(ordinary, p)
-    if not hot.isEmpty():
-        spans = spans.unionByName(_resolve_hot(is_hot, p))
+    found = materialize(_occurrences(docs, _bitmap(docs, shards, seg, p), shards, seg, p), "occurrences")
+    kinds = materialize(found.groupBy("key", "around").agg(F.count("*").alias("n"), F.min("place").alias("place")), "kinds")
+    whole = found.join(kinds.filter("n > 1").select("key", "around"), ["key", "around"], "left_semi")
+    spans = whole.select("doc_id", "version", (F.col("pos") - (p.length - p.anchor)).alias("start"), (F.col("pos") + p.length).alias("end"))
+    open_keys = kinds.groupBy("key").agg(F.count("*").alias("k"), F.min("n").alias("least")).filter("k > 1 AND least = 1").select("key", "k")
+    chosen = materialize(kinds.join(open_keys, "key").select("key", "place", "k"), "chosen")
+    if not chosen.isEmpty():
+        near = _surroundings(docs, _place_bitmap(chosen, shards, seg), shards, seg, p)
+        hot = materialize(chosen.filter(F.col("k") > p.group_rows).select("key").distinct(), "hot")
+        if hot.isEmpty():
+            spans = spans.unionByName(_resolve(near.repartition("key").sortWithinPartitions("key"), p))
+        else:
+            few = checked_broadcast(hot, 100_000)
+            spans = spans.unionByName(_resolve(near.join(few, "key", "left_anti").repartition("key").sortWithinPartitions("key"), p))
+            spans = spans.unionByName(_resolve_hot(near.join(few, "key", "left_semi"), p))
     per_row = materialize(spans, "spans").groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # at most a row's own anchors
     per_row = per_row.select(F.col("doc_id").alias("d"), F.col("version").alias("v"), F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
     joined = docs.join(per_row.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left").select("doc_id", "text", "starts", "ends")
@@ -321,6 +385,7 @@ def repeats(docs: DataFrame, params: SuffixParams | None = None) -> DataFrame:
             for text, starts, ends in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist(), batch.column("ends").to_pylist(), strict=True):
                 raw, merged = text.encode(), []
                 for a, b in sorted(zip(starts or [], ends or [], strict=True)):
+                    a, b = max(0, a), min(len(raw), b)
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
