@@ -3,9 +3,14 @@
 A document's set is hashed once; the hash's top bits name one of `bins` bins and each bin keeps its minimum. Empty bins
 borrow from bins that a fixed random sequence names, the same for all documents (optimal densification). Bands of the
 sketch are bucket keys. In each bucket every member is a candidate of one centre only, the smallest id; candidates are
-confirmed on the full sets. Where a bucket still holds several components, its centre has been compared with all others
-and steps back, and the rest get new stars, more centres each round, until no bucket holds two: no link between
-components that share a bucket is lost, and pair counts stay in proportion to members.
+confirmed on the full sets.
+
+A star can miss a link between two members that are both too far from its centre. Members of buckets that still hold
+several components are therefore dealt into sharper buckets: by a shingle among their rarest, and by the sizes of both
+sides, where a shingle's place among the rarest bounds the intersection that is still possible with a set of that size.
+Any two such members that are alike enough share a sharper bucket, and those that only look alike to the sketch mostly
+don't. There new stars are drawn, members of small components first, until no bucket holds two components: no link
+between members of one sketch bucket is lost, and pairs stay in proportion to members.
 
 Documents with equal sets are one node from the start, so exact copies cost one sketch. Nulls, empties: null or blank
 text has an empty set and is linked with nothing; texts of fewer words than a shingle have one shingle; rows with one
@@ -148,7 +153,6 @@ def _full_sets(docs: DataFrame, ids: DataFrame, p: NearDupParams) -> DataFrame:
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
     """The pairs (a, b) whose sets are alike enough; a centre with many candidates is dealt out in parts."""
     many = pairs.groupBy("b").agg(F.count("*").alias("n")).filter(F.col("n") > p.star_rows).select("b", (F.col("n") / p.star_rows).cast("int").alias("parts"))
-    many = materialize(many, "stars")
     parts = F.coalesce("parts", F.lit(0)) + 1
     left = pairs.join(many, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), parts).cast("int").alias("part"))
     left = left.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -158,6 +162,23 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame
     return shared.filter(100 * F.col("x") >= p.percent * (F.col("na") + F.col("nb") - F.col("x"))).select("a", "b")
 
 
+def _sharper(sets: DataFrame, p: NearDupParams) -> DataFrame:
+    """band, key, doc_id such that any two of the sets that are alike enough share a key.
+
+    Of n shingles ordered by rarity, the one at place i leaves an intersection of n - i at most if none before it is
+    shared; with a set of m that is enough for m <= (n - i) * (100 + percent) / percent - n only.
+    """
+    each = sets.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    count = each.groupBy("s").agg(F.count("*").alias("df"))
+    ranked = each.join(count, "s").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("r"))  # one set's shingles
+    least = F.ceil(F.col("n") * F.lit(p.percent) / 100)
+    first = ranked.select("doc_id", "n", F.posexplode(F.slice("r", F.lit(1), (F.col("n") - least + 1).cast("int"))).alias("i", "r"))
+    most = F.floor((F.col("n") - F.col("i")) * F.lit(100 + p.percent) / p.percent) - F.col("n")
+    size_class = lambda m: F.floor(F.log(m) / F.log(F.lit(1.02)))
+    spread = first.filter(most >= least).select("doc_id", F.col("r.s").alias("s"), size_class(F.col("n")).alias("own"), F.explode(F.sequence(size_class(least), size_class(most))).alias("other"))
+    return spread.select(F.lit(0).alias("band"), F.xxhash64("s", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "doc_id").distinct()
+
+
 def near_duplicates(docs: DataFrame, params: NearDupParams | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row for each row of docs (doc_id, text)."""
     p = params or NearDupParams()
@@ -170,23 +191,31 @@ def near_duplicates(docs: DataFrame, params: NearDupParams | None = None) -> Dat
     sets = materialize(_full_sets(docs, buckets.select("doc_id").distinct(), p), "sets")
     tested = materialize(buckets.filter("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     links = materialize(_confirmed(tested, sets, p), "links")
-    rest, centres = buckets.filter("doc_id <> centre").select("band", "key", "doc_id"), 1
+    found = components(links)
+    own = buckets.filter("doc_id <> centre").join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left").select("band", "key", "doc_id", F.coalesce("c", "doc_id").alias("c"))
+    mixed = own.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("band", "key")
+    open_ids = materialize(own.join(mixed, ["band", "key"]).select("doc_id").distinct(), "open")
+    rest, centres = materialize(_sharper(sets.join(open_ids, "doc_id", "left_semi"), p), "sharper"), 1
     while True:
-        found = components(links)
         own = rest.join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left").select("band", "key", "doc_id", F.coalesce("c", "doc_id").alias("c"))
-        mixed = own.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("band", "key")
-        rest = materialize(own.join(mixed, ["band", "key"]), "rest")
-        if rest.isEmpty():
+        mixed = own.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("y"), F.count("*").alias("n"))
+        mixed = mixed.filter("lo <> hi").groupBy("x", "y", "n").agg(F.min(F.struct("band", "key")).alias("k")).select("k.*")  # of buckets with the same members one is enough
+        # members of small components first: once they are compared with all others, the large one is alone
+        sized = own.join(mixed, ["band", "key"]).withColumn("size", F.count("*").over(Window.partitionBy("band", "key", "c")))
+        nth = Window.partitionBy("band", "key").orderBy("size", "doc_id")
+        ranked = materialize(sized.select("band", "key", "doc_id", "c", F.row_number().over(nth).alias("nth")), "rest")
+        if ranked.isEmpty():
             break
-        centres *= 4
-        nth = Window.partitionBy("band", "key").orderBy("doc_id")
-        chosen = rest.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= centres)
-        chosen = materialize(chosen.select("band", "key", F.col("doc_id").alias("b"), F.col("c").alias("cb")), "centres")
-        pairs = rest.join(chosen, ["band", "key"]).filter("c <> cb").select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
+        centres *= 16
+        chosen = ranked.filter(F.col("nth") <= centres).select("band", "key", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
+        pairs = ranked.join(chosen, ["band", "key"]).filter("c <> cb").select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = materialize(links.unionByName(_confirmed(pairs, sets, p)), "links")
+        new = materialize(_confirmed(pairs, sets, p), "links")
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            found = components(links)
         tested = tested.unionByName(pairs)
-        rest = rest.join(chosen.select("band", "key", F.col("b").alias("doc_id")), ["band", "key", "doc_id"], "left_anti").select("band", "key", "doc_id")
+        rest = ranked.filter(F.col("nth") > centres).select("band", "key", "doc_id")
     named = classes.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("fp1", "fp2", F.coalesce("c", "rep").alias("root"))
     out = sig.select("doc_id", "n_shingles", "fp1", "fp2").join(named, ["fp1", "fp2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("root")).otherwise(F.col("doc_id"))
