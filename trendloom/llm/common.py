@@ -22,7 +22,7 @@ ARROW_ROWS = 1024
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that the session names; one of our own only where it is unset, as in tests."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("trendloom.scratch.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("trendloom.scratch.dir", None)
     if not root:
         root = "file://" + tempfile.mkdtemp(prefix="trendloom-")
         spark.conf.set("trendloom.scratch.dir", root)
