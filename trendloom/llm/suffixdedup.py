@@ -39,7 +39,7 @@ class SuffixParams:
     #: Bound on the bitmap that is broadcast; beyond it more anchors than needed pass, with the same results.
     max_bitmap_bytes: int = 64 << 20
     #: Different surroundings of one prefix that one task compares; more are counted by their strings' hashes.
-    group_rows: int = 5_000
+    group_rows: int = 20_000
 
 
 class IndexFamily:
