@@ -137,6 +137,19 @@ def test_personal_data(docs, rows, spark, empty):
     assert "term:4:12" in found[0].spans and found[55].spans == ""
 
 
+@pytest.mark.parametrize("params", [pii.PiiParams(), pii.PiiParams(send_terms=0)])
+def test_terms_of_one_document(spark, params):
+    rows = [(0, "please ask Zorblatt via zorb@mail.com today"), (1, "today Zorblatt (zorb@mail.com) we met"), (2, "call Mistral on +49 (30) 1234-5678 today"), (3, None)]
+    rows += [(10 + i, f"please ask via mail or call on day {i} today we met") for i in range(10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find(docs, params).collect()}
+    # a name in two documents of 10,004, beside the address; one in one document, beside the number
+    assert (found[0].spans, found[1].spans, found[2].spans) == ("email:24:37,term:11:19", "email:16:29,term:6:14", "phone:16:34,term:5:12")
+    assert sum(r.n_terms for r in found.values()) == 3 and len(found) == len(rows)
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs, params).collect()}
+    assert clean[0] == "please ask  via [EMAIL] today" and clean[1] == "today  ([EMAIL]) we met" and clean[2] == "call [Name] on [PHONE] today" and clean[3] is None
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 

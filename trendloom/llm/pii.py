@@ -2,10 +2,12 @@
 
 Base spans are e-mail addresses, IPv4 addresses, payment cards and phone numbers. Their values are the protected
 entities. A term's disclosure of an entity is its pointwise mutual information with it over the entity's own
-information content, log(n_te * N / (n_t * n_e)) / log(N / n_e), from counts over all documents: n_te documents have
-the term near the entity, n_t the term, n_e the entity. It is 1 where the term only occurs with the entity. Terms at or
-above `remove_at` are removed wherever they stand, terms at or above `generalise_at` become their word class; terms seen
-near an entity in fewer than `min_contexts` different surroundings are no evidence, so that copies count once.
+information content, log(n_te * N / ((n_t + 1/2) * n_e)) / log(N / n_e), from counts over all documents: n_te documents
+have the term near the entity, n_t the term, n_e the entity. It nears 1 where the term only occurs with the entity. Terms
+at or above `remove_at` are removed wherever they stand, terms at or above `generalise_at` become their word class. Every
+pair counts, also one of a single document. The half (Krichevsky and Trofimov's prior) smooths by the term's document
+frequency: a word of one document beside an entity of one document is evidence from 159 documents up, a word of two beside
+an entity of one from 94,000 up. Copies of a document raise n_te, n_t and n_e alike.
 
 Nulls, empties: null text is empty; repeated rows are treated alike, one by one; rows with one doc_id and one text are
 one document in the counts; a null doc_id is an ordinary value; extra columns are kept by sanitise and ignored elsewhere.
@@ -23,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, materialize, small_batches
+from .common import checked_broadcast, materialize, rows_at_most, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -33,10 +35,11 @@ TERM = "term"
 class PiiParams:
     #: Words on either side of an entity that count as near.
     near: int = 6
-    min_contexts: int = 3
     remove_at: float = 0.97
     generalise_at: float = 0.92
     filter_bits: int = 1 << 23
+    #: Revealing terms that are sent to the workers as they are; more of them are found by joins.
+    send_terms: int = 200_000
 
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -108,24 +111,22 @@ def surroundings(text: str, start: int, end: int, near: int) -> list[str]:
 
 
 def _mentions(docs: DataFrame, p: PiiParams) -> DataFrame:
-    """term, entity, context, doc of each word near each entity; a row without a term for each entity."""
+    """term, entity, doc of each word near each entity; a row without a term for each entity."""
     import pyarrow as pa
 
     def run(batches):
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
+            out: tuple[list, ...] = ([], [], [])
             for doc, text in zip(batch.column("version").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for kind, spans in base_spans(text).items():
                     for a, b in spans:
                         entity = f"{kind}:{text[a:b].lower() if kind == 'email' else _NON_DIGIT.sub('.' if kind == 'ip' else '', text[a:b])}"
-                        words = surroundings(text, a, b, p.near)
-                        context = int.from_bytes(hashlib.blake2b(" ".join(words).encode(), digest_size=8).digest(), "big", signed=True)
-                        for term in [None, *set(words)]:
-                            for column, value in zip(out, (term, entity, context, doc), strict=True):
+                        for term in [None, *set(surroundings(text, a, b, p.near))]:
+                            for column, value in zip(out, (term, entity, doc), strict=True):
                                 column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["term", "entity", "context", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["term", "entity", "doc"])
 
-    return docs.select("version", "text").mapInArrow(run, "term string, entity string, context long, doc long")
+    return docs.select("version", "text").mapInArrow(run, "term string, entity string, doc long")
 
 
 def _bits(terms: DataFrame, n: int) -> np.ndarray:
@@ -151,7 +152,7 @@ def _document_counts(docs: DataFrame, terms: DataFrame, p: PiiParams) -> DataFra
         n: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                n.update(w for w in set(_WORD.findall(text.lower())) if _has(sent.value, w))
+                n.update(w for w in {w.lower() for w in set(_WORD.findall(text))} if _has(sent.value, w))
             if len(n) > 200_000:
                 yield emit(n)
                 n = Counter()
@@ -167,15 +168,15 @@ def _document_counts(docs: DataFrame, terms: DataFrame, p: PiiParams) -> DataFra
 def revealing_terms(docs: DataFrame, p: PiiParams) -> DataFrame:
     """term, action (`remove` or `generalise`), disclosure; docs as _prepared gives them."""
     near = materialize(_mentions(docs, p), "mentions")
-    joint = near.filter(F.col("term").isNotNull()).groupBy("term", "entity").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("doc").alias("n_te"))
-    joint = materialize(joint.filter(F.col("contexts") >= p.min_contexts), "joint")
+    joint = near.filter(F.col("term").isNotNull()).groupBy("term", "entity").agg(F.countDistinct("doc").alias("n_te"))
+    entities = near.groupBy("entity").agg(F.countDistinct("doc").alias("n_e"))
+    # entities of equal counts say the same of a term: a common word has a few rows here, not one for each entity
+    joint = materialize(joint.join(entities, "entity").select("term", "n_te", "n_e").distinct(), "joint")
     if joint.isEmpty():
         return joint.select("term", F.lit("").alias("action"), F.lit(0.0).alias("disclosure"))
     n = docs.count()
-    entities = near.groupBy("entity").agg(F.countDistinct("doc").alias("n_e"))
-    counts = _document_counts(docs, joint.select("term").distinct(), p)
-    j = joint.join(entities, "entity").join(counts, "term")
-    disclosure = F.try_divide(F.log(F.col("n_te") * F.lit(float(n)) / (F.greatest("n", "n_te") * F.col("n_e"))), F.log(F.lit(float(n)) / F.col("n_e")))
+    j = joint.join(_document_counts(docs, joint.select("term").distinct(), p), "term")
+    disclosure = F.try_divide(F.log(F.col("n_te") * F.lit(float(n)) / ((F.greatest("n", "n_te") + F.lit(0.5)) * F.col("n_e"))), F.log(F.lit(float(n)) / F.col("n_e")))
     found = j.groupBy("term").agg(F.max(disclosure).alias("disclosure")).filter(F.col("disclosure") >= p.generalise_at)
     return materialize(found.select("term", F.when(F.col("disclosure") >= p.remove_at, "remove").otherwise("generalise").alias("action"), "disclosure"), "revealing")
 
@@ -208,17 +209,25 @@ def _prepared(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("version"))
 
 
-def _with_terms(docs: DataFrame, rest: list[str], p: PiiParams) -> DataFrame:
-    """docs (doc_id, text, and the columns in rest) with `terms`."""
+def _standing(text: str, terms: dict[str, str]) -> list[dict]:
+    """Where the given terms stand in a text."""
+    if not any(w.lower() in terms for w in set(_WORD.findall(text))):
+        return []
+    return [{"start": m.start(), "end": m.end(), "action": terms[w]} for m in _WORD.finditer(text) if (w := m[0].lower()) in terms]
+
+
+def _with_terms(docs: DataFrame, rest: list[str], p: PiiParams):
+    """docs (doc_id, text, and the columns in rest) with `terms`, and None; or with null terms, and a broadcast of all terms and actions."""
     small_batches(docs.sparkSession)
     own = _prepared(docs)
     terms = revealing_terms(own, p)
     named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("__text"), F.xxhash64("doc_id", "text").alias("__version"), *[F.col(f"`{c}`") for c in rest])
-    if terms.isEmpty():
-        return named.withColumn("terms", F.lit(None).cast("array<struct<start:bigint,end:bigint,action:string>>")).drop("__version")
+    if rows_at_most(terms, p.send_terms):
+        every = {r.term: r.action for r in terms.select("term", "action").collect()}  # at most send_terms
+        return named.withColumn("terms", F.lit(None).cast("array<struct<start:bigint,end:bigint,action:string>>")).drop("__version"), docs.sparkSession.sparkContext.broadcast(every)
     found = materialize(_term_spans(own, terms, p), "term_spans").select(F.col("doc_id").alias("__d"), F.col("version").alias("__v"), "terms")
     on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__version") == F.col("__v"))
-    return named.join(checked_broadcast(found, 20_000), on, "left").drop("__d", "__v", "__version")
+    return named.join(checked_broadcast(found, 20_000), on, "left").drop("__d", "__v", "__version"), None
 
 
 def _all_spans(text: str, terms: list[dict] | None) -> tuple[dict[str, list[tuple[int, int]]], dict[tuple[int, int], str]]:
@@ -243,20 +252,21 @@ def find(docs: DataFrame, params: PiiParams | None = None) -> DataFrame:
     for k in (*KINDS, TERM):
         schema = schema.add(f"n_{k}" if k != TERM else "n_terms", LongType())
     schema = schema.add("base_sha256", StringType()).add("spans", StringType())
+    own, sent = _with_terms(docs, [], p)
 
     def run(batches):
         for batch in batches:
             counts: list[list[int]] = [[] for _ in range(5)]
             base, every = [], []
             for text, terms in zip(batch.column("__text").to_pylist(), batch.column("terms").to_pylist(), strict=True):
-                spans, _ = _all_spans(text, terms)
+                spans, _ = _all_spans(text, _standing(text, sent.value) if sent else terms)
                 for column, k in zip(counts, (*KINDS, TERM), strict=True):
                     column.append(len(spans.get(k, [])))
                 base.append(hashlib.sha256(joined(spans, KINDS).encode()).hexdigest())
                 every.append(joined(spans, (*KINDS, TERM)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(every, pa.string())], names=[f.name for f in schema.fields])
 
-    return _with_terms(docs, [], p).select("doc_id", "__text", "terms").mapInArrow(run, schema)
+    return own.select("doc_id", "__text", "terms").mapInArrow(run, schema)
 
 
 def clean(text: str, terms: list[dict] | None) -> str:
@@ -280,13 +290,13 @@ def sanitise(docs: DataFrame, params: PiiParams | None = None) -> DataFrame:
 
     p = params or PiiParams()
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    own = _with_terms(docs.withColumn("__null", F.col("text").isNull()), ["__null", *rest], p)
+    own, sent = _with_terms(docs.withColumn("__null", F.col("text").isNull()), ["__null", *rest], p)
     schema = docs.schema
     has_chars = "n_chars" in rest
 
     def run(batches):
         for batch in batches:
-            texts = [None if null else clean(t, x) for t, x, null in zip(batch.column("__text").to_pylist(), batch.column("terms").to_pylist(), batch.column("__null").to_pylist(), strict=True)]
+            texts = [None if null else clean(t, _standing(t, sent.value) if sent else x) for t, x, null in zip(batch.column("__text").to_pylist(), batch.column("terms").to_pylist(), batch.column("__null").to_pylist(), strict=True)]
             made = {"text": pa.array(texts, pa.string())}
             if has_chars:
                 old = batch.column("n_chars")
