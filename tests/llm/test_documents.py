@@ -175,6 +175,22 @@ def test_toxicity(docs, spark, empty):
     assert model.decode("h0use") == "house" and model.decode("r i v e r") == "river"
 
 
+ENGLISH = """the stupid man was such an idiot and a loser that no one in the house liked him said a friend of the river folk
+ who had seen stupid things and idiot deeds by a loser in the past but not so stupid a plan as this one by an idiot of the town"""
+
+
+def test_obfuscated_spellings(spark):
+    plain = spark.createDataFrame([(1, ENGLISH)], "doc_id long, text string")
+    model = toxicity.CharModel(toxicity.char_counts(plain))
+    seen = lambda text: set(re.findall(r"[a-z]+", toxicity.restore(text, model)))
+    for text in ("i d i o t", "i  d  i  o  t", "i/d/i/o/t", "i . d . i . o . t", "iddioott", "1d107", "idi07", "!d!ot!", "such an I*D*I*O*T he", "i|d|i|o|t"):
+        assert "idiot" in seen(text), text
+    assert "loser" in seen("such a l o s e r") and "stupid" in seen("stu" + "p" * 70 + "id")
+    assert {"such", "an", "idiot", "and", "a", "loser"} <= seen("s u c h a n i d i o t a n d a l o s e r")
+    scorer = toxicity.Scorer({"stupid": 5.0}, toxicity.ToxicityParams())
+    assert scorer.evidence("st up id")[1] == scorer.evidence("a s tupid plan")[1] == 5.0 and scorer.evidence("st up it id")[1] == 0
+
+
 def brute_repeats(rows, size=200):
     seen = {}
     raw = [(r[1] or "").encode() for r in rows]

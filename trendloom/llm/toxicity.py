@@ -2,9 +2,10 @@
 
 A character trigram model is counted over all documents. Where a text shows letters written as digits or signs,
 letters set apart, or letters repeated, that stretch becomes a lattice (what each sign may stand for, or that it stands
-for nothing) and Viterbi finds the likeliest spelling under the channel and the character model. The restored text is
-scored by the words, and beginnings of words, that labelled documents show to be toxic; a logistic curve through their
-weights gives a score from 0 to 1.
+for nothing; that a separator stands for nothing or for the end of a word) and Viterbi finds the likeliest spelling under
+the channel and the character model, however long the stretch is. The restored text is scored by the words, and beginnings
+of words, that labelled documents show to be toxic, also where such a word stands in several pieces; a logistic curve
+through their weights gives a score from 0 to 1.
 
 Nulls, empties: null or empty text has no evidence and gets the score of such; without labels of both kinds the score
 is the share of toxic labels, or 0; a doc_id labelled twice counts by its largest label; repeated texts teach once;
@@ -42,7 +43,7 @@ class ToxicityParams:
 #: What a sign may stand for.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "€": "e"}
 #: Costs (nats) of the channel's ways to write a letter.
-SIGN_COST, DROP_COST, REPEAT_COST, KEEP_REPEAT_COST = 1.0, 0.2, 0.3, 1.5
+SIGN_COST, DROP_COST, REPEAT_COST, KEEP_REPEAT_COST, DROP_SIGN_COST = 1.0, 0.2, 0.3, 1.5, 3.0
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 _INDEX = {c: i + 1 for i, c in enumerate(_LETTERS)}
 N_CHARS = len(_LETTERS) + 1
@@ -50,13 +51,12 @@ _TO_INDEX = np.zeros(256, np.int64)
 for _c, _i in _INDEX.items():
     _TO_INDEX[ord(_c)] = _i
 _WORD = re.compile(r"[^\W\d_]+")
-#: Stretches worth decoding: letters and signs mixed, single letters set apart, a letter three times in a row.
+#: Stretches worth decoding: single letters set apart by anything, letters and signs mixed, a letter twice in a row.
 _SUSPECT = re.compile(
-    r"(?<![^\W_])(?:[a-zß-ÿ]*[a-zß-ÿ][0-9@$!|+€]+[a-zß-ÿ][a-zß-ÿ0-9@$!|+€]*|[0-9@$!|€]+[a-zß-ÿ][a-zß-ÿ0-9@$!|+€]*[a-zß-ÿ][a-zß-ÿ0-9@$!|+€]*)(?![^\W_])"
-    r"|(?<![^\W_])[a-zß-ÿ0-9@$!](?:[ .*_-][a-zß-ÿ0-9@$!]){3,24}(?![^\W_])"
-    r"|\b[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"
+    r"(?<![^\W_])[a-zß-ÿ0-9@$!|+€](?:(?:[^\w@$!|+€]|_)+[a-zß-ÿ0-9@$!|+€]){2,}(?![^\W_])"
+    r"|(?<![^\W_])(?=[0-9@$!|+€]*[a-zß-ÿ])(?=[a-zß-ÿ]*[0-9@$!|+€])[a-zß-ÿ0-9@$!|+€]+(?![^\W_])"
+    r"|\b[^\W\d_]*([^\W\d_])\1[^\W\d_]*"
 )
-_SIGN_OR_RUN = re.compile(r"[0-9@$!|+€]|(?<![^\W_])[^\W_][ .*_-][^\W_](?![^\W_])|([^\W\d_])\1\1")
 
 
 class CharModel:
@@ -70,9 +70,9 @@ class CharModel:
         self.cache: dict[str, str] = {}
 
     def decode(self, text: str) -> str:
-        """The likeliest spelling of an obfuscated stretch of lower-case text; keys and the like are no words."""
+        """The likeliest spelling of an obfuscated stretch of lower-case text; spaces where words end in it."""
         if len(text) > 60:
-            return text
+            return self._viterbi(text)
         if text not in self.cache:
             if len(self.cache) > 50_000:
                 self.cache.clear()
@@ -81,29 +81,38 @@ class CharModel:
 
     def _viterbi(self, text: str) -> str:
         logp = self.logp
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        #: by the last two letters: score, and the letters so far as a chain from the last one
+        states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         last = ""
         for c in text:
-            new: dict[tuple[int, int], tuple[float, str]] = {}
+            new: dict[tuple[int, int], tuple[float, tuple]] = {}
 
-            def put(state, value, new=new):
-                if state not in new or value[0] > new[state][0] or (value[0] == new[state][0] and value[1] < new[state][1]):
-                    new[state] = value
+            def put(state, score, out, new=new):
+                if state not in new or score > new[state][0]:
+                    new[state] = (score, out)
 
             letters = [(c, 0.0)] if c in _INDEX else [(x, SIGN_COST) for x in SIGNS.get(c, "")]
             for (a, b), (score, out) in states.items():
-                if not letters:  # a separator, or a sign for nothing
-                    put((a, b), (score - DROP_COST, out))
+                if not letters:  # a separator stands for nothing or ends a word
+                    put((a, b), score - DROP_COST, out)
+                    if b:
+                        put((0, 0), score + float(logp[a, b, 0]), (" ", out))
                     continue
                 for x, cost in letters:
                     i = _INDEX[x]
                     again = c == last
-                    put((b, i), (score + float(logp[a, b, i]) - cost - (KEEP_REPEAT_COST if again else 0.0), out + x))
-                    if again and out and out[-1] == x:
-                        put((a, b), (score - REPEAT_COST, out))
+                    put((b, i), score + float(logp[a, b, i]) - cost - (KEEP_REPEAT_COST if again else 0.0), (x, out))
+                    if again and out and out[0] == x:
+                        put((a, b), score - REPEAT_COST, out)
+                if cost and not c.isdigit():  # a sign for nothing
+                    put((a, b), score - DROP_SIGN_COST, out)
             states, last = new, c
-        best = max(((score + float(logp[a, b, 0]), out) for (a, b), (score, out) in states.items()), key=lambda x: (x[0] / max(1, len(x[1])), x[1]))
-        return best[1]
+        chain = max(((score + (float(logp[a, b, 0]) if b else 0.0), out) for (a, b), (score, out) in states.items()), key=lambda x: x[0])[1]
+        letters = []
+        while chain:
+            letters.append(chain[0])
+            chain = chain[1]
+        return "".join(reversed(letters)).strip()
 
 
 def char_counts(docs: DataFrame) -> np.ndarray:
@@ -136,10 +145,12 @@ def char_counts(docs: DataFrame) -> np.ndarray:
 
 def restore(text: str, model: CharModel) -> str:
     """Lower-case text with its obfuscated stretches decoded."""
-    low = text.lower()
-    if not _SIGN_OR_RUN.search(low):
-        return low
-    return _SUSPECT.sub(lambda m: f"{m[0]} {model.decode(m[0])}", low)
+
+    def spelt(m):
+        found = model.decode(m[0])
+        return m[0] if found == m[0] else f"{m[0]} {found}"
+
+    return _SUSPECT.sub(spelt, text.lower())
 
 
 def features(word: str, p: ToxicityParams) -> list[str]:
@@ -152,11 +163,15 @@ class Scorer:
     def __init__(self, weights: dict[str, float], p: ToxicityParams):
         self.weights, self.p = weights, p
         self.begin = {(k[1:] if k[0] == "^" else k)[: min(p.prefixes)] for k in weights}
+        #: Proper beginnings of the lexicon's words, which may be pieces of them.
+        self.pieces = {k[:n] for k in weights if k[0] != "^" for n in range(1, len(k))}
         self.curve = np.zeros(4)
 
     def evidence(self, restored: str) -> list[float]:
         """Numbers that the curve takes: sum of word weights, the same by length, words; empty texts too."""
-        words = set(_WORD.findall(restored))
+        tokens = _WORD.findall(restored)
+        words = set(tokens)
+        words.update(self.joined(tokens))
         n = min(self.p.prefixes)
         total = 0.0
         for w in sorted(w for w in words if w[:n] in self.begin):
@@ -164,6 +179,19 @@ class Scorer:
         size = math.log(2 + len(words))
         return [1.0, total, total / size, size]
 
+    def joined(self, tokens: list[str]) -> list[str]:
+        """Words of the lexicon that stand in pieces, one after another."""
+        out = []
+        for i, word in enumerate(tokens):
+            if word in self.pieces:
+                for k in range(i + 1, len(tokens)):
+                    word += tokens[k]
+                    if word in self.weights:
+                        out.append(word)
+                    if word not in self.pieces:
+                        break
+        return out
+
     def score(self, restored: str) -> float:
         z = float(np.dot(self.evidence(restored), self.curve))
         return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))
