@@ -120,6 +120,64 @@ def test_near_duplicates(docs, rows, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def _component_ids(sets):
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in sets}
+
+
+def test_near_duplicates_of_a_hot_group(spark):
+    """A thousand near copies of one text, most of them on either side of the line, and many that are equal."""
+    rng = random.Random(3)
+    base = [f"word{k}" for k in range(110)]
+    rows = []
+    for i in range(1_000):
+        w = list(base)
+        for k in rng.sample(range(0, 110, 6), rng.choice([0, 1, 1, 2, 2, 3, 4])):
+            w[k] = rng.choice(["x", "y", f"own{i}"])
+        rows.append((i, " ".join(w)))
+    sets = {i: shingles(t) for i, t in rows}
+    want = _component_ids(sets)
+    assert 10 < len(set(want.values())) < 900
+    for params in (neardup.NearDupParams(), neardup.NearDupParams(bucket_rows=50, star_rows=20)):
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), params).collect()}
+        assert got == want
+
+
+def test_components(spark):
+    from trendloom.llm import graph
+
+    rng = random.Random(4)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(k, k + 1) for k in range(500, 560)] + [(600, 600), (700, 701), (701, 700)]
+    root = {v: v for e in edges for v in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    frame = lambda e: spark.createDataFrame(e, "a long, b long")
+    found = graph.components(frame(edges))
+    assert {(r.v, r.c) for r in found.collect()} == {(v, find(v)) for v in root}
+    more = [(600, 510), (3000, 3001), (700, 701)]
+    both = graph.contracted(found, frame(more))
+    assert {(r.v, r.c) for r in both.collect()} >= {(r.v, r.c) for r in graph.components(frame(edges + more)).collect()}
+    assert graph.components(frame(edges).limit(0)).count() == 0
+
+
 def test_personal_data(docs, rows, spark, empty):
     got = {r.doc_id: r for r in pii.find(docs).collect()}
     r = got[209]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -18,14 +17,17 @@ NON_WS_CLASS = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 21
 #: Rows per Arrow batch, so that a batch of ordinary documents stays within a few MB.
 ARROW_ROWS = 1024
+#: Keys that a join may broadcast because each holds more than one part in so many of all rows.
+HOT_KEYS = 2000
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the session names; one of our own only where it is unset, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("trendloom.scratch.dir", None)
+    """The shared folder that the session names; it must be set, since a folder of one machine loses rows on a cluster."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and spark.sparkContext.master.startswith("local"):
+        root = spark.conf.get("spark.sql.warehouse.dir")  # driver and executors are one process here
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="trendloom-")
-        spark.conf.set("trendloom.scratch.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
@@ -65,6 +67,18 @@ def checked_broadcast(df: DataFrame, limit: int = 2000) -> DataFrame:
     return F.broadcast(df) if rows_at_most(df, limit) else df
 
 
+def split_join(left: DataFrame, right: DataFrame, on: list[str], rows: str, total: int, how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row for each key and in `rows` how many rows of left have that key.
+
+    Keys of more than 1 / HOT_KEYS of all `total` rows of left, HOT_KEYS at most, are broadcast, so that no task gets
+    the rows of a hot key; the others are shuffled.
+    """
+    hot = F.col(rows) > F.lit(total // HOT_KEYS)
+    some = F.broadcast(right.filter(hot))
+    rest = left.join(some.select(*on), on, "left_anti").join(right.filter(~hot), on, how)
+    return left.join(some, on).unionByName(rest)
+
+
 # --- numpy over the UTF-8 bytes of an Arrow string column -------------------------------------------------------
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))

@@ -1,45 +1,15 @@
-"""Connected components: minimum labels with pointer jumping, or one task where the graph is small."""
+"""Connected components: minimum labels over edges, with pointer jumping."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, rows_at_most, small_batches
+from .common import materialize
 
-#: Edges that one task handles; a larger graph goes through joins.
-SMALL_GRAPH = 200_000
 
-
-def components(edges: DataFrame, small: int = SMALL_GRAPH) -> DataFrame:
-    """(v, c): the smallest node that v reaches, for every node of edges(a, b)."""
-    return _in_one_task(edges) if rows_at_most(edges, small) else _by_joins(edges)
-
-
-def _in_one_task(edges: DataFrame) -> DataFrame:
-    import pandas as pd
-
-    kind = edges.schema["a"].dataType
-
-    def union(batches):
-        parent: dict = {}
-
-        def find(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        for pdf in batches:
-            for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True):
-                low, high = sorted((find(a), find(b)))
-                parent[high] = low
-        yield pd.DataFrame({"v": list(parent), "c": [find(v) for v in parent]})
-
-    small_batches(edges.sparkSession)
-    return materialize(edges.select("a", "b").repartition(1).mapInPandas(union, f"v {kind.simpleString()}, c {kind.simpleString()}"), "labels")
-
-
-def _by_joins(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
+    """(v, c): the smallest node that v reaches, for every node of edges(a, b); equal or repeated edges are harmless."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = materialize(both, "edges")
     labels = materialize(both.groupBy(F.col("a").alias("v")).agg(F.least(F.first("a"), F.min("b")).alias("c")), "labels")
@@ -51,3 +21,15 @@ def _by_joins(edges: DataFrame) -> DataFrame:
         labels = new.select("v", "c")
         if new.filter("c <> old").isEmpty():
             return labels
+
+
+def contracted(found: DataFrame, links: DataFrame) -> DataFrame:
+    """found(v, c) after further links(a, b): only the components that they join are looked at again."""
+    if links.isEmpty():
+        return found
+    named = lambda end: found.select(F.col("v").alias(end), F.col("c").alias("c" + end))
+    ends = links.join(named("a"), "a", "left").join(named("b"), "b", "left")
+    edges = ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b")
+    up = components(edges)
+    old = found.join(up.select(F.col("v").alias("c"), F.col("c").alias("up")), "c", "left").select("v", F.coalesce("up", "c").alias("c"))
+    return materialize(old.unionByName(up).distinct(), "labels")

@@ -6,15 +6,17 @@ sketch are bucket keys. In each bucket every member is a candidate of one centre
 confirmed on the full sets.
 
 A star can miss a link between two members that are both too far from its centre. Members of buckets that still hold
-several components are therefore dealt into sharper buckets: by a shingle among their rarest, and by the sizes of both
-sides, where a shingle's place among the rarest bounds the intersection that is still possible with a set of that size.
-Any two such members that are alike enough share a sharper bucket, and those that only look alike to the sketch mostly
-don't. There new stars are drawn, members of small components first, until no bucket holds two components: no link
-between members of one sketch bucket is lost, and pairs stay in proportion to members.
+several components are therefore looked at again by an exact rule: two sets that are alike enough share one of their
+rarest shingles (of n, the n - ceil(n * percent / 100) + 1 rarest). Each such shingle is a bucket; stars are drawn there,
+and then the members of different components that a bucket still holds are paired where sizes, the shingle's place among
+the rarest, and the distance of two 512-bit images of the sets leave an intersection large enough possible. These bounds
+never exclude a link, so none between members of one sketch bucket is lost, and few pairs pass that aren't links. Keys of
+many rows are broadcast or dealt into parts, never gathered in one task.
 
 Documents with equal sets are one node from the start, so exact copies cost one sketch. Nulls, empties: null or blank
-text has an empty set and is linked with nothing; texts of fewer words than a shingle have one shingle; rows with one
-doc_id are one document; a null doc_id takes no part (component_id null, kept false); extra columns are ignored.
+text has an empty set and is linked with nothing; texts of fewer words than a shingle have one shingle; repeated rows are
+answered one by one; different texts of one doc_id are each linked on their own, and what both are linked with is one
+component; a null doc_id takes no part (component_id null, kept false); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,13 +24,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, materialize, mix, prefix_sums, small_batches, span_hashes, text_slices, word_spans
-from .graph import components
+from .common import LOWER, materialize, mix, prefix_sums, small_batches, span_hashes, split_join, text_slices, word_spans
+from .graph import components, contracted
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Columns of a set's image, 64 bits each.
+N_IMAGE = 8
+IMAGE = [f"b{i}" for i in range(N_IMAGE)]
 
 
 @dataclass(frozen=True)
@@ -41,6 +46,8 @@ class NearDupParams:
     rows: int = 5
     #: Candidates of one centre that one task confirms, about.
     star_rows: int = 500
+    #: Rows of one shingle's bucket that one task pairs with the bucket's other rows, about.
+    bucket_rows: int = 4_000
 
 
 def shingle_sets(column, p: NearDupParams):
@@ -108,6 +115,22 @@ def sketches(counts: np.ndarray, hashes: np.ndarray, p: NearDupParams) -> np.nda
     return keys
 
 
+def _fingerprints(counts: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums over each set."""
+    ends, out = np.cumsum(counts), []
+    for salt in (1, 2):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mix(h * np.uint64(2 * salt + 1) + np.uint64(salt)))])
+        out.append((total[ends] - total[ends - counts]).view(np.int64))
+    return out
+
+
+def images(counts: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """512-bit images (rows x 8): a bit is set if a shingle of the set falls on it."""
+    bits = np.zeros((len(counts), 64 * N_IMAGE), bool)
+    bits[np.repeat(np.arange(len(counts)), counts), (h & np.uint64(64 * N_IMAGE - 1)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def _signatures(docs: DataFrame, p: NearDupParams) -> DataFrame:
     """doc_id, n_shingles, a 128-bit fingerprint of the set, and the bucket keys."""
     import pyarrow as pa
@@ -121,33 +144,32 @@ def _signatures(docs: DataFrame, p: NearDupParams) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id")
             for i, j, counts, h in shingle_sets(batch.column("text"), p):
-                ends = np.cumsum(counts)
-                sums = []
-                for salt in (1, 2):
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(h * np.uint64(2 * salt + 1) + np.uint64(salt)))])
-                    sums.append((total[ends] - total[ends - counts]).view(np.int64))
                 keys = np.ascontiguousarray(sketches(counts, h, p)).view(np.int64).reshape(-1)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, p.bands, dtype=np.int32)), pa.array(keys))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(counts.astype(np.int64)), *map(pa.array, sums), lists], names=[f.name for f in schema.fields])
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(counts.astype(np.int64)), *map(pa.array, _fingerprints(counts, h)), lists], names=[f.name for f in schema.fields])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, p: NearDupParams) -> DataFrame:
-    """doc_id and its set for the documents in ids."""
+    """doc_id, sid (of one set of it), the set and its image, for the documents in ids."""
     import pyarrow as pa
     from pyspark.sql.types import ArrayType, LongType
 
-    schema = docs.select("doc_id").schema.add("shingles", ArrayType(LongType()))
+    schema = docs.select("doc_id").schema.add("sid", LongType()).add("shingles", ArrayType(LongType()))
+    for name in IMAGE:
+        schema = schema.add(name, LongType())
 
     def run(batches):
         for batch in batches:
             own = batch.column("doc_id")
             for i, j, counts, h in shingle_sets(batch.column("text"), p):
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([own.slice(i, j - i), lists], names=["doc_id", "shingles"])
+                image = np.ascontiguousarray(images(counts, h).T)
+                yield pa.RecordBatch.from_arrays([own.slice(i, j - i), pa.array(_fingerprints(counts, h)[0]), lists, *map(pa.array, image)], names=[f.name for f in schema.fields])
 
-    return docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(run, schema)
+    asked = docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return asked.mapInArrow(run, schema)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
@@ -159,64 +181,72 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")).join(many, "b", "left").select("b", "sb", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"))
     both = F.size(F.array_intersect("sa", "sb"))
     shared = left.join(right, ["b", "part"]).select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), both.alias("x"))
-    return shared.filter(100 * F.col("x") >= p.percent * (F.col("na") + F.col("nb") - F.col("x"))).select("a", "b")
+    return shared.filter(100 * F.col("x") >= p.percent * (F.col("na") + F.col("nb") - F.col("x"))).select("a", "b").distinct()
+
+
+def _rarest(sets: DataFrame, p: NearDupParams) -> DataFrame:
+    """s, doc_id, sid, n, i: the shingles of each set of which two sets that are alike enough share one, i before each."""
+    each = sets.select("doc_id", "sid", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    count = materialize(each.groupBy("s").agg(F.count("*").alias("df")), "shingles")
+    total = count.agg(F.sum("df")).first()[0] or 0
+    every = split_join(each, count, ["s"], "df", total)
+    ranked = every.groupBy("doc_id", "sid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("r"))  # one set's shingles
+    first = F.slice("r", F.lit(1), (F.col("n") - F.ceil(F.col("n") * F.lit(p.percent) / 100) + 1).cast("int"))
+    return ranked.select("doc_id", "sid", "n", F.posexplode(first).alias("i", "r")).filter("r.df > 1").select(F.col("r.s").alias("s"), "doc_id", "sid", "n", "i")
+
+
+def _may_link(p: NearDupParams, x: str, y: str) -> Column:
+    """Whether two rows of one shingle's bucket, in different components, can be alike enough."""
+    a, b = (lambda name: F.col(f"{x}.{name}")), (lambda name: F.col(f"{y}.{name}"))
+    sizes = a("n") + b("n")
+    left = F.least(a("n") - a("i"), b("n") - b("i"))  # if this is the first shingle that both have
+    apart = sum((F.bit_count(a(k).bitwiseXOR(b(k))) for k in IMAGE), F.lit(0))  # at most the symmetric difference
+    return (a("c") != b("c")) & ((100 + p.percent) * left >= p.percent * sizes) & ((100 + p.percent) * (sizes - apart) >= 2 * p.percent * sizes)
+
 
+def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with c, the component of doc_id."""
+    return rows.join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("c", "doc_id"))
 
-def _sharper(sets: DataFrame, p: NearDupParams) -> DataFrame:
-    """band, key, doc_id such that any two of the sets that are alike enough share a key.
 
-    Of n shingles ordered by rarity, the one at place i leaves an intersection of n - i at most if none before it is
-    shared; with a set of m that is enough for m <= (n - i) * (100 + percent) / percent - n only.
-    """
-    each = sets.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    count = each.groupBy("s").agg(F.count("*").alias("df"))
-    ranked = each.join(count, "s").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("r"))  # one set's shingles
-    least = F.ceil(F.col("n") * F.lit(p.percent) / 100)
-    first = ranked.select("doc_id", "n", F.posexplode(F.slice("r", F.lit(1), (F.col("n") - least + 1).cast("int"))).alias("i", "r"))
-    most = F.floor((F.col("n") - F.col("i")) * F.lit(100 + p.percent) / p.percent) - F.col("n")
-    size_class = lambda m: F.floor(F.log(m) / F.log(F.lit(1.02)))
-    spread = first.filter(most >= least).select("doc_id", F.col("r.s").alias("s"), size_class(F.col("n")).alias("own"), F.explode(F.sequence(size_class(least), size_class(most))).alias("other"))
-    return spread.select(F.lit(0).alias("band"), F.xxhash64("s", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "doc_id").distinct()
+def _still_mixed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of buckets that hold several components, with n_rows of their bucket."""
+    rows = materialize(rows, "rows")
+    kinds = rows.groupBy(*by).agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n_rows")).filter("lo <> hi").select(*by, "n_rows")
+    return split_join(rows, kinds, by, "n_rows", rows.count())
 
 
 def near_duplicates(docs: DataFrame, params: NearDupParams | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row for each row of docs (doc_id, text)."""
     p = params or NearDupParams()
     sig = materialize(_signatures(docs, p), "signatures")
-    classes = materialize(sig.filter("n_shingles > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sig.filter("n_shingles > 0").join(classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2"), ["doc_id", "fp1", "fp2"]).dropDuplicates(["doc_id"])
-    members = reps.select("doc_id", F.posexplode("keys").alias("band", "key"))
-    stars = members.groupBy("band", "key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).filter("centre <> last").select("band", "key", "centre")
-    buckets = materialize(members.join(stars, ["band", "key"]).select("band", "key", "doc_id", "centre"), "buckets")
+    some = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = materialize(some.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_docs")), "classes")
+    reps = some.join(classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2"), ["doc_id", "fp1", "fp2"]).dropDuplicates(["doc_id", "fp1", "fp2"])
+    members = materialize(reps.select("doc_id", F.posexplode("keys").alias("band", "key")), "members")
+    stars = members.groupBy("band", "key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"), F.count("*").alias("n_rows")).filter("centre <> last").drop("last")
+    buckets = materialize(split_join(members, materialize(stars, "stars"), ["band", "key"], "n_rows", members.count()).select("band", "key", "doc_id", "centre"), "buckets")
     sets = materialize(_full_sets(docs, buckets.select("doc_id").distinct(), p), "sets")
-    tested = materialize(buckets.filter("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-    links = materialize(_confirmed(tested, sets, p), "links")
-    found = components(links)
-    own = buckets.filter("doc_id <> centre").join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left").select("band", "key", "doc_id", F.coalesce("c", "doc_id").alias("c"))
-    mixed = own.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("band", "key")
-    open_ids = materialize(own.join(mixed, ["band", "key"]).select("doc_id").distinct(), "open")
-    rest, centres = materialize(_sharper(sets.join(open_ids, "doc_id", "left_semi"), p), "sharper"), 1
-    while True:
-        own = rest.join(found.withColumnRenamed("v", "doc_id"), "doc_id", "left").select("band", "key", "doc_id", F.coalesce("c", "doc_id").alias("c"))
-        mixed = own.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("y"), F.count("*").alias("n"))
-        mixed = mixed.filter("lo <> hi").groupBy("x", "y", "n").agg(F.min(F.struct("band", "key")).alias("k")).select("k.*")  # of buckets with the same members one is enough
-        # members of small components first: once they are compared with all others, the large one is alone
-        sized = own.join(mixed, ["band", "key"]).withColumn("size", F.count("*").over(Window.partitionBy("band", "key", "c")))
-        nth = Window.partitionBy("band", "key").orderBy("size", "doc_id")
-        ranked = materialize(sized.select("band", "key", "doc_id", "c", F.row_number().over(nth).alias("nth")), "rest")
-        if ranked.isEmpty():
-            break
-        centres *= 16
-        chosen = ranked.filter(F.col("nth") <= centres).select("band", "key", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-        pairs = ranked.join(chosen, ["band", "key"]).filter("c <> cb").select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        new = materialize(_confirmed(pairs, sets, p), "links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            found = components(links)
-        tested = tested.unionByName(pairs)
-        rest = ranked.filter(F.col("nth") > centres).select("band", "key", "doc_id")
-    named = classes.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("fp1", "fp2", F.coalesce("c", "rep").alias("root"))
-    out = sig.select("doc_id", "n_shingles", "fp1", "fp2").join(named, ["fp1", "fp2"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("root")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    tested = buckets.filter("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
+    found = components(materialize(_confirmed(materialize(tested, "pairs"), sets, p), "links"))
+    # a centre has been compared with all members; what may still be linked is members of different components
+    own = _named(buckets.filter("doc_id <> centre").select("band", "key", "doc_id"), found)
+    open_ids = materialize(_still_mixed(own, ["band", "key"]).select("doc_id").distinct(), "open")
+    near = sets.join(open_ids, "doc_id", "left_semi")
+    rare = _still_mixed(_named(_rarest(near, p), found), ["s"])
+    rare = materialize(rare.drop("n_rows").join(near.select("doc_id", "sid", *IMAGE), ["doc_id", "sid"]), "rare")
+    facts = F.struct("doc_id", "n", "i", "c", *IMAGE)
+    centres = rare.groupBy("s").agg(F.min(facts).alias("y"), F.count("*").alias("n_rows"))
+    drawn = split_join(rare.select("s", facts.alias("x")), materialize(centres, "centres"), ["s"], "n_rows", rare.count()).filter(_may_link(p, "x", "y"))
+    drawn = materialize(drawn.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "pairs")
+    found = contracted(found, materialize(_confirmed(drawn, sets, p), "links"))
+    rest = materialize(_still_mixed(_named(rare.drop("c"), found), ["s"]).withColumn("parts", (F.col("n_rows") / p.bucket_rows).cast("int") + 1), "rest")
+    one = rest.select("s", F.pmod(F.xxhash64("doc_id", "sid"), "parts").cast("int").alias("part"), facts.alias("x"))
+    other = rest.select("s", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), facts.alias("y"))
+    pairs = one.join(other, (one["s"] == other["s"]) & (one["part"] == other["part"]) & (F.col("x.doc_id") > F.col("y.doc_id")) & _may_link(p, "x", "y"))
+    pairs = materialize(pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "pairs")
+    found = contracted(found, materialize(_confirmed(pairs, sets, p), "links"))
+    named = materialize(classes.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("fp1", "fp2", "n_docs", F.coalesce("c", "rep").alias("root")), "roots")
+    out = split_join(some.select("doc_id", "n_shingles", "fp1", "fp2"), named, ["fp1", "fp2"], "n_docs", sig.count()).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
+    alone = sig.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
