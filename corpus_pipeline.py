@@ -17,14 +17,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     langs, logp = langid.fit(docs, langid.fold(5) != 0)
     found = langid.predict(docs, langs, logp, keep=tuple(docs.columns))
     kept = found.filter((F.col("lang_pred") != langid.UND) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    lang = F.coalesce("row.lang", "lang_pred").alias("lang")
+    return kept.select(*[lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
     found = neardup.near_duplicates(docs)
     surplus = found.filter(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
-    return docs.join(surplus.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(surplus.hint("shuffle_hash"), "doc_id", "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Counts come from the labelled rows (a bounded sample of them, see max_train_docs); the log-probability matrix
-(languages x buckets, float32, at most max_langs * n_buckets * 4 bytes) is broadcast and documents are scored in numpy
-over their whole texts: each n-gram gathers its column, and the columns are summed by document.
-
-Nulls, empties: null text, or text without a letter, is `und` with score 0; null langs teach nothing; without any
-labelled row everything is `und`; repeated rows are predicted one by one; ties go to the language first in order;
-extra columns are ignored.
+Counts come from the labelled rows (a bounded sample of them, see max_train_docs). The log-probability matrix (buckets x
+languages, float32) is broadcast in blocks of languages. Documents are scored in batches in numpy, whole: the n-grams of
+all texts of a batch are the sparse rows, each n-gram gathers its matrix row, and the sums are taken by document.
+
+Nulls, empties: null text, or text without a letter, is `und` with score 0; null langs teach nothing, nor do rows of a
+null doc_id; without any labelled row everything is `und`; a long text is scored in steps that overlap, so no n-gram is
+lost or made up; repeated rows are predicted one by one; ties go to the language first in order; extra columns are
+ignored, or kept in `row`, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ class LangIdParams:
     alpha: float = 0.5
     #: Bound on the labelled rows that are learned from; beyond it a share of them is taken by a hash of doc_id.
     max_train_docs: int = 20_000
-    #: Bound on the languages of the matrix: the most frequent in the sample.
-    max_langs: int = 200
+    #: Languages of one broadcast block of the matrix.
+    block_langs: int = 64
     #: Characters of one vectorised step.
-    step_chars: int = 1 << 19
+    step_chars: int = 1 << 17
 
 
 _TABLE: list[np.ndarray] = []
@@ -61,31 +62,57 @@ def _chars(text: str) -> np.ndarray:
     return out
 
 
-def _grams(chars: np.ndarray, p: LangIdParams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bucket, start) of each n-gram that holds a letter; a run of non-letters counts as one space."""
-    c = np.concatenate([np.array([32], np.uint32), chars, np.array([32], np.uint32)])
-    c = c[np.concatenate([[True], (c[1:] != 32) | (c[:-1] != 32)])]
-    h = np.zeros(len(c), np.uint32)
-    letter = np.zeros(len(c), bool)
-    for n in range(1, max(p.orders) + 1):
-        m = len(c) - n + 1
-        if m <= 0:
-            return
-        h = h[:m] * np.uint32(0x01000193) ^ (c[n - 1 :] * np.uint32(0x9E3779B1))
-        letter = letter[:m] | (c[n - 1 :] != 32)
-        if n in p.orders:
-            b = h ^ np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)
-            b = (b ^ (b >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-            b = (b ^ (b >> np.uint32(12))) & np.uint32(p.n_buckets - 1)
-            yield b[letter], np.flatnonzero(letter)
-
-
-def gram_counts(text: str, p: LangIdParams) -> np.ndarray:
-    """Counts by bucket of the n-grams of one text."""
+def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(characters, number of the text of each): each text between spaces, runs of non-letters taken as one space."""
+    own = [_chars(" " + t + " ") for t in texts]
+    c = np.concatenate(own)
+    row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    new = np.ones(len(c), bool)
+    new[1:] = (c[1:] != 32) | (c[:-1] != 32) | (row[1:] != row[:-1])
+    return c[new], row[new]
+
+
+def _grams(c: np.ndarray, row: np.ndarray, p: LangIdParams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, text) of each n-gram that holds a letter and lies in one text, by order and in steps."""
+    reach = max(p.orders)
+    for at in range(0, len(c), p.step_chars):
+        end = min(len(c), at + p.step_chars)
+        part, owner = c[at : end + reach - 1], row[at : end + reach - 1]
+        h = np.zeros(len(part), np.uint32)
+        letter = np.zeros(len(part), bool)
+        for n in range(1, reach + 1):
+            m = min(len(part) - n + 1, end - at)
+            if m <= 0:
+                break
+            h = h[:m] * np.uint32(0x01000193) ^ (part[n - 1 : n - 1 + m] * np.uint32(0x9E3779B1))
+            letter = letter[:m] | (part[n - 1 : n - 1 + m] != 32)
+            if n in p.orders:
+                ok = letter & (owner[:m] == owner[n - 1 : n - 1 + m])
+                b = h ^ np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)
+                b = (b ^ (b >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+                b = (b ^ (b >> np.uint32(12))) & np.uint32(p.n_buckets - 1)
+                yield b[ok], owner[:m][ok]
+
+
+def _batches(texts: list[str | None], p: LangIdParams) -> Iterator[list[int]]:
+    """Numbers of the texts that have characters, about a step's worth at a time."""
+    held, n = [], 0
+    for i, t in enumerate(texts):
+        if t:
+            held.append(i)
+            n += len(t)
+            if n >= p.step_chars:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
+
+
+def gram_counts(texts: list[str], p: LangIdParams) -> np.ndarray:
+    """Counts by bucket of the n-grams of texts."""
     out = np.zeros(p.n_buckets, np.int64)
-    chars = _chars(text)
-    for i in range(0, len(chars), p.step_chars):
-        for b, _ in _grams(chars[i : i + p.step_chars], p):
+    for part in _batches(texts, p):
+        for b, _ in _grams(*_joined([texts[i] for i in part]), p):
             out += np.bincount(b, minlength=p.n_buckets)
     return out
 
@@ -100,93 +127,85 @@ def _training(docs: DataFrame, train: Column, p: LangIdParams) -> DataFrame:
 
 
 def fit(docs: DataFrame, train: Column, params: LangIdParams | None = None) -> tuple[list[str], np.ndarray]:
-    """(languages in order, log-probability matrix with a last column for the prior)."""
+    """(languages in order, log-probability matrix with a last column for the prior); all languages of the rows learned from."""
     import pyarrow as pa
 
     p = params or LangIdParams()
     small_batches(docs.sparkSession)
 
     def count(batches):
-        sums: dict[str, np.ndarray] = {}
-        n: dict[str, int] = {}
         for batch in batches:
+            by: dict[str, list[str]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if lang not in sums:
-                    if len(sums) >= 4 * p.max_langs:
-                        yield emit(sums, n)
-                        sums, n = {}, {}
-                    sums[lang], n[lang] = np.zeros(p.n_buckets, np.int64), 0
-                sums[lang] += gram_counts(text, p)
-                n[lang] += 1
-        yield emit(sums, n)
-
-    def emit(sums, n):
-        rows = [(k, b, int(v[b])) for k, v in sums.items() for b in np.flatnonzero(v).tolist()] + [(k, -1, c) for k, c in n.items()]
-        cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64())], names=["lang", "bucket", "n"])
+                by.setdefault(lang, []).append(text)
+            for lang, texts in by.items():
+                n = gram_counts(texts, p)
+                at = np.flatnonzero(n)
+                arrays = [pa.array([lang] * (len(at) + 1), pa.string()), pa.array([*at.tolist(), -1], pa.int32()), pa.array([*n[at].tolist(), len(texts)], pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "bucket", "n"])
 
     counted = _training(docs, train, p).mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    total = counted.filter("bucket = -1").select("lang", "n").orderBy(F.desc("n"), "lang").limit(p.max_langs).collect()
-    langs = sorted(r.lang for r in total)
+    of = {}
+    for r in counted.collect():  # n-grams of max_train_docs documents at most
+        of.setdefault(r.lang, {})[r.bucket] = r.n
+    langs = sorted(of)
     if not langs:
         return [], np.zeros((0, p.n_buckets + 1), np.float32)
-    at = {k: i for i, k in enumerate(langs)}
-    counts = np.zeros((len(langs), p.n_buckets), np.float64)
-    # by bucket block, so that what reaches the driver at once is bounded by max_langs * n_buckets rows
-    for r in counted.filter((F.col("bucket") >= 0) & F.col("lang").isin(langs)).toLocalIterator():
-        counts[at[r.lang], r.bucket] = r.n
-    prior = np.array([dict((r.lang, r.n) for r in total)[k] for k in langs], np.float64)
-    logp = np.log(counts + p.alpha) - np.log((counts + p.alpha).sum(1, keepdims=True))
-    return langs, np.concatenate([logp, np.log(prior / prior.sum())[:, None]], 1).astype(np.float32)
-
-
-def predict_texts(texts: list[str | None], langs: list[str], logp: np.ndarray, p: LangIdParams) -> tuple[list[str], np.ndarray]:
-    """(language, posterior) of each text."""
+    prior = np.array([of[k].pop(-1) for k in langs], np.float64)
+    logp = np.empty((len(langs), p.n_buckets + 1), np.float32)
+    for i, k in enumerate(langs):
+        n = np.zeros(p.n_buckets)
+        n[list(of[k])] = list(of[k].values())
+        logp[i, :-1] = np.log(n + p.alpha) - np.log((n + p.alpha).sum())
+    logp[:, -1] = np.log(prior / prior.sum())
+    return langs, logp
+
+
+def predict_texts(texts: list[str | None], langs: list[str], blocks: list[np.ndarray], p: LangIdParams) -> tuple[list[str], np.ndarray]:
+    """(language, posterior) of each text; blocks: rows of the matrix by bucket, some languages each."""
     out, score = [UND] * len(texts), np.zeros(len(texts))
-    columns = np.ascontiguousarray(logp.T)
-    for i, text in enumerate(texts):
-        if not text or not langs:
-            continue
-        chars = _chars(text)
-        if not (chars != 32).any():
-            continue
-        sums = columns[-1].astype(np.float64)
-        for k in range(0, len(chars), p.step_chars):
-            hist = np.zeros(p.n_buckets, np.int64)
-            small = len(chars) < 1 << 14
-            for b, _ in _grams(chars[k : k + p.step_chars], p):
-                if small:
-                    sums += columns[b].sum(0, dtype=np.float64)
-                else:  # sparse row of the long text: its buckets and their counts
-                    hist += np.bincount(b, minlength=p.n_buckets)
-            if not small:
-                at = np.flatnonzero(hist)
-                sums += hist[at].astype(np.float64) @ columns[at].astype(np.float64)
-        sums -= sums.max()
-        post = np.exp(sums)
-        best = int(sums.argmax())
-        out[i], score[i] = langs[best], float(post[best] / post.sum())
+    if not langs:
+        return out, score
+    for part in _batches(texts, p):
+        c, row = _joined([texts[i] for i in part])
+        sums = np.concatenate([np.repeat(b[-1:].astype(np.float64), len(part), 0) for b in blocks], 1)
+        for bucket, owner in _grams(c, row, p):
+            if not len(bucket):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            at = 0
+            for block in blocks:
+                width = block.shape[1]
+                for k in range(0, width, 8):  # a few languages at a time bound what is gathered
+                    sums[owner[first], at + k : at + min(width, k + 8)] += np.add.reduceat(block[bucket, k : k + 8].astype(np.float64), first, axis=0)
+                at += width
+        has = np.bincount(row[c != 32], minlength=len(part)) > 0
+        sums -= sums.max(1, keepdims=True)
+        best = sums.argmax(1)
+        post = 1 / np.exp(sums).sum(1)
+        for n, i in enumerate(part):
+            if has[n]:
+                out[i], score[i] = langs[best[n]], float(post[n])
     return out, score
 
 
 def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, params: LangIdParams | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `keep`, lang_pred and score of every row."""
+    """row (the columns `keep`), lang_pred and score of every row."""
     import pyarrow as pa
 
     p = params or LangIdParams()
     spark = docs.sparkSession
     small_batches(spark)
-    model = spark.sparkContext.broadcast((langs, logp))
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    names = [f"k{i}" for i in range(len(keep))]
+    sent = [spark.sparkContext.broadcast(np.ascontiguousarray(logp[i : i + p.block_langs].T)) for i in range(0, len(langs), p.block_langs)]
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), "text")
+    schema = row.select("row").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches):
-        known, matrix = model.value
         for batch in batches:
-            pred, score = predict_texts(batch.column("__text").to_pylist(), known, matrix, p)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(pred, pa.string()), pa.array(score)], names=[f.name for f in schema.fields])
+            pred, score = predict_texts(batch.column("text").to_pylist(), langs, [x.value for x in sent], p)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(pred, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 
-    return docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col("text").alias("__text")).mapInArrow(run, schema)
+    return row.mapInArrow(run, schema)
 
 
 def fold(mod: int) -> Column:
@@ -199,4 +218,4 @@ def identify(docs: DataFrame, params: LangIdParams | None = None) -> DataFrame:
     langs, logp = fit(docs, fold(5) != 0, params)
     held = F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")
     out = predict(docs, langs, logp, params)
-    return out.select("doc_id", held, "lang_pred", "score")
+    return out.select("row.doc_id", "lang_pred", "score").select("doc_id", held, "lang_pred", "score")

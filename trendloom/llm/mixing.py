@@ -11,7 +11,8 @@ bucket that holds the cut, and only that is ordered. The rule by leaf is a few c
 
 Nulls, empties: null text has 0 tokens; null lang or source is `und` or `unknown`, a leaf of its own; documents with
 one doc_id share a place in the order and are taken together; a leaf of no tokens takes whole epochs of nothing and all
-its documents at once; an empty table gives no rows; extra columns are kept by select_documents and ignored elsewhere.
+its documents at once; an empty table gives no rows; extra columns are kept by select_documents and ignored elsewhere,
+also those named like columns used here.
 """
 
 from __future__ import annotations
@@ -122,8 +123,8 @@ def rules(docs: DataFrame, p: MixParams) -> DataFrame:
 
 
 def with_copies(docs: DataFrame, p: MixParams) -> DataFrame:
-    """docs with their leaf and `copies`, the epochs that they are in."""
-    named = docs.select("*", *_leaf_columns(p))
+    """row (docs' own columns, whatever their names), doc_id, leaf and `copies`, the epochs that the document is in."""
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", *_leaf_columns(p))
     j = named.join(checked_broadcast(rules(docs, p)), LEAF)
     key = _order_key(p)
     bucket = _bucket(key)
@@ -135,13 +136,13 @@ def mixture(docs: DataFrame, params: MixParams | None = None) -> DataFrame:
     """doc_id, domain, language, src, n_tokens, copies of the documents that the mixture has."""
     p = params or MixParams()
     out = with_copies(docs.select("doc_id", "text", "lang", "source"), p).filter("copies > 0")
-    return out.select("doc_id", *LEAF, tokens(F.col("text")).alias("n_tokens"), "copies")
+    return out.select("doc_id", *LEAF, tokens(F.col("row.text")).alias("n_tokens"), "copies")
 
 
 def select_documents(docs: DataFrame, params: MixParams | None = None) -> DataFrame:
     """The mixture's documents with their own columns, as often as they are in it."""
     out = with_copies(docs, params or MixParams()).filter("copies > 0")
-    return out.withColumn("nth_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("nth_copy")).select("row.*")
 
 
 def oracle(p: MixParams | None = None) -> str:

@@ -64,29 +64,8 @@ class WordCache(dict):
 _EXOTIC = re.compile(r"[^ -~\n¡-ᙿ]")
 
 
-def byte_level_ranks(path: str) -> dict[bytes, int] | None:
-    """Ranks of a byte-level BPE file of the `tokenizers` library; None where ids aren't the merges' order."""
-    import json
-
-    model = json.loads(open(path, encoding="utf-8").read())["model"]
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    to_byte = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in set(plain))}
-    vocab = {k: v for k, v in model["vocab"].items() if all(c in to_byte for c in k)}
-    order = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
-    if order != sorted(order) or len(vocab) != 256 + len(order):
-        return None
-    return {bytes(to_byte[c] for c in k): v for k, v in vocab.items()}
-
-
 class Tokens:
-    """Ids of the tokenizer file, word by word from a cache where blanks and line feeds surely part tokens.
-
-    New words go through the same merges in `tiktoken`, which is about four times as fast on them; `tokenizers` itself
-    encodes what that can't take (another kind of file) and tries a sample of words at the start.
-    """
-
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    TRIAL = "It's a trial: 12 words, naïve Straße & co. don't\n\n  differ…\tOK?"
+    """Ids of the tokenizer file, word by word from a cache where blanks and line feeds surely part tokens."""
 
     def __init__(self, path: str, cache_words: int):
         from tokenizers import Tokenizer
@@ -94,12 +73,6 @@ class Tokens:
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
         self.encode = lambda s: tok.encode(s, add_special_tokens=False).ids
-        if ranks := byte_level_ranks(path):
-            import tiktoken
-
-            fast = tiktoken.Encoding("same", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            if fast(self.TRIAL) == self.encode(self.TRIAL):
-                self.encode = fast
         self.bare, self.blank = WordCache(self.encode, "", cache_words // 4), WordCache(self.encode, " ", cache_words)
         self.line = array("I", self.encode("\n")).tobytes()
 

@@ -18,14 +18,15 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, materialize, rows_at_most, small_batches
+from .common import materialize, rows_at_most, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -97,17 +98,17 @@ def joined(spans: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> s
     return ",".join(f"{k}:{a}:{b}" for k in kinds for a, b in sorted(spans.get(k, [])))
 
 
-def surroundings(text: str, start: int, end: int, near: int) -> list[str]:
-    """The lower-case words next to a span, at most `near` on either side."""
-    reach = 40 * near
-    a, b = max(0, start - reach), min(len(text), end + reach)
-    left = [(m[0], m.start()) for m in _WORD.finditer(text, a, start)]
-    if left and a and left[0][1] == a:
-        left = left[1:]  # may be cut
-    right = [(m[0], m.end()) for m in _WORD.finditer(text, end, b)]
-    if right and b < len(text) and right[-1][1] == b:
-        right = right[:-1]
-    return [w.lower() for w, _ in left[-near:] + right[:near]]
+def words_of(text: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of a text's words."""
+    found = [m.span() for m in _WORD.finditer(text)]
+    return [a for a, _ in found], [b for _, b in found]
+
+
+def surroundings(text: str, words: tuple[list[int], list[int]], start: int, end: int, near: int) -> list[str]:
+    """The lower-case words next to a span, `near` on either side or all there are; words that overlap it are none."""
+    starts, ends = words
+    before, after = bisect_right(ends, start), bisect_left(starts, end)
+    return [text[starts[i] : ends[i]].lower() for i in (*range(max(0, before - near), before), *range(after, min(len(starts), after + near)))]
 
 
 def _mentions(docs: DataFrame, p: PiiParams) -> DataFrame:
@@ -118,10 +119,12 @@ def _mentions(docs: DataFrame, p: PiiParams) -> DataFrame:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [])
             for doc, text in zip(batch.column("version").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for kind, spans in base_spans(text).items():
+                found = base_spans(text)
+                words = words_of(text) if any(found.values()) else None
+                for kind, spans in found.items():
                     for a, b in spans:
                         entity = f"{kind}:{text[a:b].lower() if kind == 'email' else _NON_DIGIT.sub('.' if kind == 'ip' else '', text[a:b])}"
-                        for term in [None, *set(surroundings(text, a, b, p.near))]:
+                        for term in [None, *set(surroundings(text, words, a, b, p.near))]:
                             for column, value in zip(out, (term, entity, doc), strict=True):
                                 column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["term", "entity", "doc"])
@@ -130,11 +133,13 @@ def _mentions(docs: DataFrame, p: PiiParams) -> DataFrame:
 
 
 def _bits(terms: DataFrame, n: int) -> np.ndarray:
-    """A bitmap of fixed size over the terms' crc32."""
-    bitmap = np.zeros(n, bool)
-    for r in terms.select((F.crc32(F.col("term").cast("binary")) % n).alias("b")).distinct().toLocalIterator():
-        bitmap[r.b] = True
-    return np.packbits(bitmap)
+    """A bitmap of fixed size over the terms' crc32, combined by words of 64 bits: n / 64 rows at most."""
+    bit = F.crc32(F.col("term").cast("binary")) % n
+    one = F.expr("shiftleft(1L, cast(b % 64 as int))")
+    words = np.zeros(n // 64, np.int64)
+    for r in terms.select(bit.alias("b")).groupBy(F.expr("b div 64").alias("at")).agg(F.bit_or(one).alias("bits")).collect():
+        words[r["at"]] = r["bits"]
+    return np.packbits(np.unpackbits(words.view(np.uint8), bitorder="little"))
 
 
 def _has(bits: np.ndarray, word: str) -> bool:
@@ -165,19 +170,26 @@ def _document_counts(docs: DataFrame, terms: DataFrame, p: PiiParams) -> DataFra
     return found.join(terms.select("term"), "term", "left_semi")
 
 
+def _disclosure(n_te: Column, n_t: Column, n_e: Column, n: int) -> Column:
+    return F.try_divide(F.log(n_te * F.lit(float(n)) / ((n_t + F.lit(0.5)) * n_e)), F.log(F.lit(float(n)) / n_e))
+
+
 def revealing_terms(docs: DataFrame, p: PiiParams) -> DataFrame:
     """term, action (`remove` or `generalise`), disclosure; docs as _prepared gives them."""
     near = materialize(_mentions(docs, p), "mentions")
     joint = near.filter(F.col("term").isNotNull()).groupBy("term", "entity").agg(F.countDistinct("doc").alias("n_te"))
     entities = near.groupBy("entity").agg(F.countDistinct("doc").alias("n_e"))
-    # entities of equal counts say the same of a term: a common word has a few rows here, not one for each entity
-    joint = materialize(joint.join(entities, "entity").select("term", "n_te", "n_e").distinct(), "joint")
-    if joint.isEmpty():
-        return joint.select("term", F.lit("").alias("action"), F.lit(0.0).alias("disclosure"))
+    # in how many documents a term is near any entity: at most n_t, so disclosure is at most what follows from it, and
+    # the words that this leaves below the line need no count over all documents
+    anywhere = near.filter(F.col("term").isNotNull()).groupBy("term").agg(F.countDistinct("doc").alias("n_any"))
     n = docs.count()
-    j = joint.join(_document_counts(docs, joint.select("term").distinct(), p), "term")
-    disclosure = F.try_divide(F.log(F.col("n_te") * F.lit(float(n)) / ((F.greatest("n", "n_te") + F.lit(0.5)) * F.col("n_e"))), F.log(F.lit(float(n)) / F.col("n_e")))
-    found = j.groupBy("term").agg(F.max(disclosure).alias("disclosure")).filter(F.col("disclosure") >= p.generalise_at)
+    # entities of equal counts say the same of a term: a common word has a few rows here, not one for each entity
+    joint = materialize(joint.join(entities, "entity").select("term", "n_te", "n_e").distinct().join(anywhere, "term"), "joint")
+    possible = materialize(joint.filter(_disclosure(F.col("n_te"), F.col("n_any"), F.col("n_e"), n) >= p.generalise_at), "possible")
+    if possible.isEmpty():
+        return possible.select("term", F.lit("").alias("action"), F.lit(0.0).alias("disclosure"))
+    j = possible.join(_document_counts(docs, possible.select("term").distinct(), p), "term")
+    found = j.groupBy("term").agg(F.max(_disclosure(F.col("n_te"), F.greatest("n", "n_te"), F.col("n_e"), n)).alias("disclosure")).filter(F.col("disclosure") >= p.generalise_at)
     return materialize(found.select("term", F.when(F.col("disclosure") >= p.remove_at, "remove").otherwise("generalise").alias("action"), "disclosure"), "revealing")
 
 
@@ -201,7 +213,7 @@ def _term_spans(docs: DataFrame, terms: DataFrame, p: PiiParams) -> DataFrame:
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("version").take(at), *(pa.array(c, k) for c, k in zip(out, (pa.string(), pa.int64(), pa.int64()), strict=True))], names=[f.name for f in schema.fields])
 
-    hits = docs.select("doc_id", "version", "text").mapInArrow(run, schema).join(checked_broadcast(terms.select("term", "action"), 10_000), "term")
+    hits = docs.select("doc_id", "version", "text").mapInArrow(run, schema).join(terms.select("term", "action"), "term")
     return hits.groupBy("doc_id", "version").agg(F.array_distinct(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))  # at most a text's words
 
 
@@ -216,18 +228,19 @@ def _standing(text: str, terms: dict[str, str]) -> list[dict]:
     return [{"start": m.start(), "end": m.end(), "action": terms[w]} for m in _WORD.finditer(text) if (w := m[0].lower()) in terms]
 
 
-def _with_terms(docs: DataFrame, rest: list[str], p: PiiParams):
-    """docs (doc_id, text, and the columns in rest) with `terms`, and None; or with null terms, and a broadcast of all terms and actions."""
+def _with_terms(docs: DataFrame, p: PiiParams):
+    """row (docs' own columns, whatever their names), text and terms, and None; or with null terms, and a broadcast of all terms and actions."""
     small_batches(docs.sparkSession)
     own = _prepared(docs)
     terms = revealing_terms(own, p)
-    named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("__text"), F.xxhash64("doc_id", "text").alias("__version"), *[F.col(f"`{c}`") for c in rest])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select(row.alias("row"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id"), F.xxhash64("doc_id", "text").alias("version"))
     if rows_at_most(terms, p.send_terms):
         every = {r.term: r.action for r in terms.select("term", "action").collect()}  # at most send_terms
-        return named.withColumn("terms", F.lit(None).cast("array<struct<start:bigint,end:bigint,action:string>>")).drop("__version"), docs.sparkSession.sparkContext.broadcast(every)
-    found = materialize(_term_spans(own, terms, p), "term_spans").select(F.col("doc_id").alias("__d"), F.col("version").alias("__v"), "terms")
-    on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__version") == F.col("__v"))
-    return named.join(checked_broadcast(found, 20_000), on, "left").drop("__d", "__v", "__version"), None
+        return named.select("row", "text", F.lit(None).cast("array<struct<start:bigint,end:bigint,action:string>>").alias("terms")), docs.sparkSession.sparkContext.broadcast(every)
+    found = materialize(_term_spans(own, terms, p), "term_spans").select(F.col("doc_id").alias("d"), F.col("version").alias("v"), "terms")
+    on = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v"))
+    return named.join(found, on, "left").select("row", "text", "terms"), None
 
 
 def _all_spans(text: str, terms: list[dict] | None) -> tuple[dict[str, list[tuple[int, int]]], dict[tuple[int, int], str]]:
@@ -252,21 +265,21 @@ def find(docs: DataFrame, params: PiiParams | None = None) -> DataFrame:
     for k in (*KINDS, TERM):
         schema = schema.add(f"n_{k}" if k != TERM else "n_terms", LongType())
     schema = schema.add("base_sha256", StringType()).add("spans", StringType())
-    own, sent = _with_terms(docs, [], p)
+    own, sent = _with_terms(docs.select("doc_id", "text"), p)
 
     def run(batches):
         for batch in batches:
             counts: list[list[int]] = [[] for _ in range(5)]
             base, every = [], []
-            for text, terms in zip(batch.column("__text").to_pylist(), batch.column("terms").to_pylist(), strict=True):
+            for text, terms in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist(), strict=True):
                 spans, _ = _all_spans(text, _standing(text, sent.value) if sent else terms)
                 for column, k in zip(counts, (*KINDS, TERM), strict=True):
                     column.append(len(spans.get(k, [])))
                 base.append(hashlib.sha256(joined(spans, KINDS).encode()).hexdigest())
                 every.append(joined(spans, (*KINDS, TERM)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(every, pa.string())], names=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays([batch.column("row").field("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(every, pa.string())], names=[f.name for f in schema.fields])
 
-    return own.select("doc_id", "__text", "terms").mapInArrow(run, schema)
+    return own.select(F.struct("row.doc_id").alias("row"), "text", "terms").mapInArrow(run, schema)
 
 
 def clean(text: str, terms: list[dict] | None) -> str:
@@ -289,18 +302,20 @@ def sanitise(docs: DataFrame, params: PiiParams | None = None) -> DataFrame:
     import pyarrow as pa
 
     p = params or PiiParams()
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    own, sent = _with_terms(docs.withColumn("__null", F.col("text").isNull()), ["__null", *rest], p)
+    own, sent = _with_terms(docs, p)
     schema = docs.schema
-    has_chars = "n_chars" in rest
+    at = {c: i for i, c in enumerate(docs.columns)}
 
     def run(batches):
         for batch in batches:
-            texts = [None if null else clean(t, _standing(t, sent.value) if sent else x) for t, x, null in zip(batch.column("__text").to_pylist(), batch.column("terms").to_pylist(), batch.column("__null").to_pylist(), strict=True)]
-            made = {"text": pa.array(texts, pa.string())}
-            if has_chars:
-                old = batch.column("n_chars")
-                made["n_chars"] = pa.array([n if t is None else len(t) for n, t in zip(old.to_pylist(), texts, strict=True)], old.type)
-            yield pa.RecordBatch.from_arrays([made.get(f.name, batch.column(f.name) if f.name != "text" else None) for f in schema.fields], names=[f.name for f in schema.fields])
-
+            columns = batch.column("row").flatten()
+            nulls = columns[at["text"]].is_null().to_pylist()
+            texts = [None if null else clean(t, _standing(t, sent.value) if sent else x) for t, x, null in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist(), nulls, strict=True)]
+            columns[at["text"]] = pa.array(texts, pa.string())
+            if "n_chars" in at:
+                old = columns[at["n_chars"]]
+                columns[at["n_chars"]] = pa.array([n if t is None else len(t) for n, t in zip(old.to_pylist(), texts, strict=True)], old.type)
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+
+    docs_columns = list(docs.columns)
     return own.mapInArrow(run, schema)

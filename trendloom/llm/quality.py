@@ -25,7 +25,6 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par"],
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "del", "se", "las", "por", "un", "para", "con", "no"],
 }
-N_COMMON = 16
 CLASSES = ["upper", "lower", "digit", "punct", "symbol", "white", "other"]
 SHINGLE = 8
 
@@ -41,6 +40,14 @@ class QualityParams:
     max_word_distance: float = 0.33
     common_words: dict[str, list[str]] = field(default_factory=lambda: COMMON_WORDS)
 
+    @property
+    def n_common(self) -> int:
+        return max(map(len, self.common_words.values()), default=0)
+
+    def vocabularies(self) -> dict[str, list[str]]:
+        """The lists, filled up to one length with what is no word."""
+        return {k: v + [""] * (self.n_common - len(v)) for k, v in self.common_words.items()}
+
 
 def _count(text: Column, keep: str) -> Column:
     """Characters of text in the class `keep` (a regular expression's bracket content)."""
@@ -72,7 +79,7 @@ def features(docs: DataFrame, p: QualityParams) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     ref = F.when(F.col("lang").isin(*p.common_words), F.col("lang")).otherwise("und")
     vocab = F.lit(None).cast("array<string>")
-    for lang, words in p.common_words.items():
+    for lang, words in p.vocabularies().items():
         vocab = F.when(F.col("lang") == lang, F.array(*map(F.lit, words))).otherwise(vocab)
     d = docs.select("doc_id", ref.alias("ref_lang"), vocab.alias("vocab"), text.alias("t"), F.array_remove(F.split(text, WS_CLASS), "").alias("w"))
     common = let(F.filter(F.transform("w", lambda x: F.lower(x)), lambda x: F.array_contains(F.col("vocab"), x)), lambda f: F.transform(F.col("vocab"), lambda v: F.size(f) - F.size(F.array_remove(f, v))))
@@ -104,9 +111,9 @@ def features(docs: DataFrame, p: QualityParams) -> DataFrame:
 def references(feats: DataFrame, p: QualityParams) -> DataFrame:
     """One row per reference language: at most len(common_words) + 1 rows, whatever the input."""
     good = feats.filter(~F.col("base_failed") & (F.col("n_chars") >= p.min_class_chars))
-    counts = [F.sum(F.element_at("common", i + 1)).alias(f"w{i}") for i in range(N_COMMON)]
+    counts = [F.sum(F.element_at("common", i + 1)).alias(f"w{i}") for i in range(p.n_common)]
     agg = good.groupBy("ref_lang").agg(*[F.sum(f"c_{c}").alias(f"r_{c}") for c in CLASSES], F.sum("n_words").alias("r_words"), *counts)
-    return agg.select("ref_lang", F.array(*[F.col(f"r_{c}") for c in CLASSES]).alias("ref_classes"), F.array(*[F.coalesce(F.col(f"w{i}"), F.lit(0)) for i in range(N_COMMON)]).alias("ref_common"), "r_words")
+    return agg.select("ref_lang", F.array(*[F.col(f"r_{c}") for c in CLASSES]).alias("ref_classes"), F.array(*[F.coalesce(F.col(f"w{i}"), F.lit(0)) for i in range(p.n_common)]).alias("ref_common"), "r_words")
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -144,7 +151,7 @@ def quality(docs: DataFrame, params: QualityParams | None = None) -> DataFrame:
 def oracle(p: QualityParams | None = None) -> str:
     """The contract's columns in DuckDB SQL."""
     p = p or QualityParams()
-    vocab = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in p.common_words.items()) + " END"
+    vocab = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in p.vocabularies().items()) + " END"
     ws = "[^\\x20\\x09-\\x0D]+"
     count = lambda keep: f"length(regexp_replace(t, '[^{keep}]+', '', 'g'))"
 
@@ -170,7 +177,7 @@ q AS (
   SELECT *, [up, lo, di, pu, n_symbols, n_chars - word_chars, word_chars - up - lo - di - pu - n_symbols]::DOUBLE[] AS c, list_append(common, n_words - list_sum(common))::DOUBLE[] AS m,
          n_words < {p.min_words} OR 100 * n_repeat_words > {p.max_repeat_percent} * n_words AS base_failed FROM f),
 ref AS (
-  SELECT ref_lang, [{", ".join(f"sum(c[{i + 1}])" for i in range(len(CLASSES)))}] AS rc, [{", ".join(f"sum(m[{i + 1}])" for i in range(N_COMMON + 1))}] AS rm
+  SELECT ref_lang, [{", ".join(f"sum(c[{i + 1}])" for i in range(len(CLASSES)))}] AS rc, [{", ".join(f"sum(m[{i + 1}])" for i in range(p.n_common + 1))}] AS rm
   FROM q WHERE NOT base_failed AND n_chars >= {p.min_class_chars} GROUP BY ref_lang),
 j AS (
   SELECT q.*, CASE WHEN n_chars >= {p.min_class_chars} THEN {distance("c", "rc")} END AS cd, CASE WHEN n_words >= {p.min_common_words} AND ref_lang <> 'und' THEN {distance("m", "rm")} END AS wd

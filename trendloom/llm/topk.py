@@ -1,6 +1,6 @@
 """Exact top-k inner-product search: exhaustive term-at-a-time accumulation.
 
-Queries come in chunks of a bounded size, which are broadcast; each task inverts its block of rows into postings by
+Queries come in chunks of a bounded size, which are broadcast one after another; each task inverts its block of rows into postings by
 dimension, the sparse query rows scatter weight * posting into dense score arrays, partition selection keeps k rows a
 query, and a window merges the tasks' lists.
 
@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import materialize, small_batches
 
 
 @dataclass(frozen=True)
@@ -114,7 +114,8 @@ def topk(vectors: DataFrame, is_query: Column, params: TopKParams | None = None)
                 arrays = [np.repeat(qid, sizes), np.concatenate([x for x, _ in best]), np.concatenate([s for _, s in best])]
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], names=["query_id", "vec_id", "score"])
 
-        parts.append(v.mapInArrow(run, schema))
+        parts.append(materialize(v.mapInArrow(run, schema), "lists"))
+        sent.unpersist()
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     found = parts[0]

@@ -31,8 +31,7 @@ from .langid import _chars, fold
 class ToxicityParams:
     #: Bound on the labelled documents that are learned from; beyond it a share is taken by a hash of doc_id.
     max_train_docs: int = 20_000
-    #: Bound on the lexicon, the strongest features first.
-    max_features: int = 5_000
+    #: A feature is learned if at least so many of the learned documents have it, so the lexicon is bounded by them.
     min_docs: int = 3
     #: Least log-likelihood-ratio statistic of a feature.
     min_evidence: float = 10.0
@@ -240,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, model: CharModel, par
     evidence = 2 * (F.col("a") * F.log(F.col("a") / expected) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / ((F.col("a") + F.col("b")) * (good / (bad + good))))).otherwise(0.0))
     weight = F.log(((F.col("a") + 0.1) / (bad + 0.2)) / ((F.col("b") + 0.1) / (good + 0.2)))
     strong = by.filter((F.col("a") >= p.min_docs) & (F.col("a") > expected)).select("f", evidence.alias("g"), weight.alias("w")).filter((F.col("g") >= p.min_evidence) & (F.col("w") > 2))
-    scorer = Scorer({r.f: r.w for r in strong.orderBy(F.desc("g"), "f").limit(p.max_features).collect()}, p)
+    scorer = Scorer({r.f: r.w for r in strong.collect()}, p)
     weigh = spark.sparkContext.broadcast(scorer)
 
     def evidence_of(batches):
