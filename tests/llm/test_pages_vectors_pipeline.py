@@ -28,6 +28,44 @@ def test_main_text(page, text):
     assert htmltext.main_text(page, P) == text
 
 
+LONG = "a line of running text that goes on for quite a while"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # stray and unquoted quotes in tags
+        (f"<article><p title=it's>one</p><p>two</p><p data-x='>' a=\"b>c\">three</p></article>", "one\n\ntwo\n\nthree"),
+        ("<article><p>a < b and <i>c</i></p><p>cut off <b class='x", "a < b and c\n\ncut off"),
+        # whole class tokens only
+        ("<article class=has-sidebar><div class=article-header><h1>T</h1></div><p class=share-price>up</p><p class='related-work'>w</p><div class='share-buttons'>s</div><div class='x comment-list'>c</div><p><math><mi>x</mi></math></p></article>", "T\n\nup\n\nw\n\nx"),
+        # unmarked pages: windows part navigation from text
+        ("<body>" + "".join(f"<div><a href=x>Item {i}</a></div>" for i in range(8)) + f"<h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG}!</p>" + "<div>x</div>" * 4 + "</body>", f"Head\n\n{LONG}\n\nShort.\n\n{LONG}!"),
+        # an aside and a list of short items don't part a text in one box
+        ("<div id=text>" + f"<p>{LONG}</p>" * 2 + "<aside><p>a</p><p>b</p><p>c</p></aside>" + "<ul>" + "<li>i</li>" * 5 + "</ul>" + f"<p>{LONG}</p><p>End</p></div><div><p>c</p></div>", "\n\n".join([LONG, LONG, *"iiiii", LONG, "End"])),
+        # link text counts for nothing
+        (f"<div><a>{LONG}</a></div>" * 6 + "<p>x</p>" * 3 + f"<section><p>{LONG}</p><p>{LONG}</p></section>", f"{LONG}\n\n{LONG}"),
+    ],
+)
+def test_line_blocks(page, text):
+    assert htmltext.main_text(page, P) == text
+
+
+def test_runs_against_brute_force():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(9)
+    for _ in range(500):
+        size, w, least = [rng.choice([0, 0, 3, 9, 30]) for _ in range(rng.randint(1, 14))], rng.randint(1, 4), rng.choice([0, 5, 20])
+        covered = set()
+        for i in range(len(size)):
+            if sum(size[i : i + w]) > least:
+                covered.update(range(i, min(i + w, len(size))))
+        assert sorted(i for a, b in htmltext.runs_between(np.array(size), w, least) for i in range(a, b)) == sorted(covered)
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>x</p></article>", "z"), (1, "u", "<article><p>x</p></article>", "z"), (2, None, None, "z"), (None, "v", "<p>" + "é" * 50_000, "z")], "page_id long, url string, html string, text string")
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in htmltext.extract(df).collect())
