@@ -267,7 +267,7 @@ def brute_repeats(rows, size=200):
     return out
 
 
-@pytest.mark.parametrize("params", [suffixdedup.SuffixParams(), suffixdedup.SuffixParams(group_rows=2, batch_keys=64, shard_keys=50)])
+@pytest.mark.parametrize("params", [suffixdedup.SuffixParams(), suffixdedup.SuffixParams(group_rows=2, batch_keys=64, task_anchors=50, task_rows=10)])
 def test_long_repeats(docs, rows, params, empty):
     got = suffixdedup.repeats(docs, params).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows)
@@ -277,10 +277,64 @@ def test_long_repeats(docs, rows, params, empty):
 def test_index_family():
     import numpy as np
 
-    family = suffixdedup.IndexFamily()
-    for n in range(8):
-        assert len(family.add(np.arange(n * 10, n * 10 + 10, dtype=np.uint64))) == 0
-    assert len(family.levels) == 1 and family.add(np.array([3, 99], np.uint64)).tolist() == [3]
+    rng = np.random.default_rng(1)
+    family, seen, first = suffixdedup.IndexFamily(), {}, 0
+    for size in [5, 40, 3, 200, 1, 77, 300] * 3:
+        keys = rng.integers(0, 700, size, dtype=np.uint64)
+        numbers = np.arange(first, first + size)
+        first += size
+        ours, theirs = family.add(keys, numbers)
+        got = dict(zip(ours.tolist(), theirs.tolist(), strict=True))
+        for k, n in zip(keys.tolist(), numbers.tolist(), strict=True):
+            assert got.get(n) == seen.get(k)
+            seen.setdefault(k, n)
+        sizes = [len(k) for k, _ in family.levels]
+        assert sum(sizes) == len(seen) and all(a > b for a, b in zip(sizes, sizes[1:], strict=False))
+
+
+def test_anchors_do_not_depend_on_the_slice():
+    import numpy as np
+
+    rng, p = random.Random(8), suffixdedup.SuffixParams()
+    same = bytes(rng.choice(b"ab ") for _ in range(400)) + b"xyz" * 150
+    named = []
+    for before in (0, 3, 1_000, 70_000):
+        text = bytes(rng.choice(b"ab ") for _ in range(before)) + same
+        place, key, _ = suffixdedup.anchors(np.frombuffer(text, np.uint8), np.array([0, len(text)]), p)
+        named.append({(i - before, k) for i, k in zip(place.tolist(), key.tolist(), strict=True) if i >= before + 200})
+    assert named[0] and all(n == named[0] for n in named)
+
+
+def test_long_repeats_in_texts_of_different_lengths(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(2, 6)))
+    passage = " ".join(word() for _ in range(90))
+    rows = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([0, 10, 60, 500, 3_000, 30_000])]
+    rows = [(i, t[: len(t) // 2] + passage[i * 5 : 300 + i * 9] + t[len(t) // 2 :]) for i, t in rows] + [(9, "ha " * 200), (10, "x" * 199), (11, "x" * 200), (12, "y" * 201), (None, passage), (13, None)]
+    got = suffixdedup.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows)
+
+
+def test_matches_come_from_the_family(spark, monkeypatch):
+    import numpy as np
+
+    from trendloom.llm.suffixdedup import Repeats
+
+    texts = [b"left one " + b"abcdefg hij" * 30, b"other " + b"abcdefg hij" * 30]
+    p = suffixdedup.SuffixParams()
+
+    def intervals():
+        found = Repeats(p)
+        for t in texts:
+            raw = np.frombuffer(t, np.uint8)
+            place, key, _ = suffixdedup.anchors(raw, np.array([0, len(raw)]), p)
+            around = raw[np.clip(place[:, None] + np.arange(-(p.length - p.anchor), p.length), 0, len(raw) - 1)]
+            found.add(key, around, np.minimum(p.length - p.anchor, place), np.minimum(p.length, len(raw) - place))
+        return len(found.intervals()[0])
+
+    assert intervals() > 0
+    monkeypatch.setattr(suffixdedup.IndexFamily, "add", lambda self, keys, numbers: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    assert intervals() == 0
 
 
 def test_packing(docs, rows, empty):

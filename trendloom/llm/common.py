@@ -70,13 +70,15 @@ def checked_broadcast(df: DataFrame, limit: int = 2000) -> DataFrame:
 def split_join(left: DataFrame, right: DataFrame, on: list[str], rows: str, total: int, how: str = "inner") -> DataFrame:
     """left joined with right, which has one row for each key and in `rows` how many rows of left have that key.
 
-    Keys of more than 1 / HOT_KEYS of all `total` rows of left, HOT_KEYS at most, are broadcast, so that no task gets
-    the rows of a hot key; the others are shuffled.
+    Keys of more than 1 / HOT_KEYS of all `total` rows of left, so HOT_KEYS at most, are joined by broadcast, and no task
+    gets all rows of a hot key; the others are shuffled. right should be materialised.
     """
-    hot = F.col(rows) > F.lit(total // HOT_KEYS)
-    some = F.broadcast(right.filter(hot))
-    rest = left.join(some.select(*on), on, "left_anti").join(right.filter(~hot), on, how)
-    return left.join(some, on).unionByName(rest)
+    key = F.xxhash64(*on)
+    hot = [r.h for r in right.filter(F.col(rows) > max(1, total // HOT_KEYS)).select(key.alias("h")).distinct().collect()]  # HOT_KEYS at most
+    if not hot:
+        return left.join(right, on, how)
+    spread = left.filter(key.isin(hot)).join(F.broadcast(right.filter(key.isin(hot))), on, how)
+    return spread.unionByName(left.filter(~key.isin(hot)).join(right.filter(~key.isin(hot)), on, how))
 
 
 # --- numpy over the UTF-8 bytes of an Arrow string column -------------------------------------------------------

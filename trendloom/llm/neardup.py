@@ -213,7 +213,7 @@ def _still_mixed(rows: DataFrame, by: list[str]) -> DataFrame:
     """The rows of buckets that hold several components, with n_rows of their bucket."""
     rows = materialize(rows, "rows")
     kinds = rows.groupBy(*by).agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n_rows")).filter("lo <> hi").select(*by, "n_rows")
-    return split_join(rows, kinds, by, "n_rows", rows.count())
+    return split_join(rows, materialize(kinds, "mixed"), by, "n_rows", rows.count())
 
 
 def near_duplicates(docs: DataFrame, params: NearDupParams | None = None) -> DataFrame:

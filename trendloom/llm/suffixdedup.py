@@ -1,17 +1,21 @@
 """Exact removal of long repeats with a logarithmic family of suffix arrays.
 
-A suffix enters the index where it starts with an anchor: the k-byte string of smallest hash among those of some
-`length`-byte string. Equal strings name equal anchors, so any repeat of `length` bytes shows as two index entries with
-one prefix, while only about one suffix in 77 is indexed. Suffixes are ordered by the fingerprint of their k-byte
-prefix (which entries match matters here, not the alphabet), and the order is dealt into shards by its top bits. In
-each shard batches of suffixes get sorted arrays, each new one is merge-scanned against the existing levels for
-matches, and levels of equal size merge, so that level sizes are geometric.
-
-Matches become a bitmap of bounded size. Anchors that it lets through are counted by prefix and by their surroundings
-(the bytes of all strings of `length` bytes that hold the anchor): surroundings found twice are repeats as a whole. Of
-prefixes that also have surroundings found once, one anchor of each surroundings sends its bytes, and the exact extent
-of the repeats is read off the hashes of all the strings that hold the anchor. Prefixes with very many different
-surroundings are resolved by a combinable count of those hashes instead, so no task holds them all.
+Suffixes enter at anchors: the k-byte strings that are smallest by hash among those of some `length`-byte string. Which
+strings are anchors depends on the bytes around them alone, so equal strings hold equal anchors wherever they stand, and
+only about one suffix in 77 is indexed. Suffixes are ordered by fingerprint rather than by the alphabet (which are equal
+matters here, not which is smaller), and dealt over tasks by it.
+
+An index family takes suffixes in batches. Each batch becomes a sorted array; it is scanned for neighbours that match,
+merge-scanned against the arrays of the existing levels for matches, and what is new becomes a level; levels of equal
+size merge, so that sizes are geometric. Two rounds use it. The first takes each anchor's suffix with what stands before
+it, as far as strings of `length` bytes that hold the anchor reach: matches are repeats as a whole. The second takes, of
+anchors whose k bytes also begin other surroundings, one anchor of each surroundings, and of these every suffix that
+begins a string of `length` bytes holding the anchor: matches of that length are repeated strings, and the farthest and
+nearest of each anchor give the interval that its repeats cover. There, bytes of both are compared before it counts.
+Surroundings that are equal are counted before they are dealt out; prefixes with very many different surroundings are
+dealt by their strings' fingerprints instead of by prefix, so no task holds them all.
+
+Equality in the first round is of 128 bits of fingerprint, in the second of bytes.
 
 Nulls, empties: null text is empty; texts shorter than `length` lose nothing; a null doc_id is an ordinary value;
 repeated rows repeat each other and so lose all that is long enough; extra columns are ignored.
@@ -26,51 +30,64 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, _powers, checked_broadcast, materialize, mix, prefix_sums, small_batches, span_hashes, text_slices
+from .common import _BYTE, _powers, materialize, mix, prefix_sums, small_batches, span_hashes, text_slices
 
 
 @dataclass(frozen=True)
 class SuffixParams:
     length: int = 200
     anchor: int = 48
-    shard_keys: int = 500_000
-    batch_keys: int = 1 << 16
-    segment_bits: int = 1 << 21
-    #: Bound on the bitmap that is broadcast; beyond it more anchors than needed pass, with the same results.
-    max_bitmap_bytes: int = 64 << 20
-    #: Different surroundings of one prefix that one task compares; more are counted by their strings' hashes.
+    #: Suffixes of one batch of the family, about.
+    batch_keys: int = 1 << 18
+    #: Anchors, and surroundings, that one task indexes, about.
+    task_anchors: int = 500_000
+    task_rows: int = 8_000
+    #: Different surroundings of one prefix beyond which their strings are dealt over tasks.
     group_rows: int = 20_000
 
 
 class IndexFamily:
-    """Sorted arrays of distinct suffix keys, of geometric sizes; add() returns the keys that were there before."""
+    """Suffix arrays of geometric sizes: sorted keys of distinct suffixes, and a number for each."""
 
     def __init__(self):
-        self.levels: list[np.ndarray] = []
-
-    def add(self, batch: np.ndarray) -> np.ndarray:
-        """batch: sorted distinct keys."""
-        found = np.zeros(len(batch), bool)
-        for level in self.levels:
-            at = np.searchsorted(level, batch)
-            at[at == len(level)] = 0
-            found |= level[at] == batch if len(level) else False
-        matches, new = batch[found], batch[~found]
-        while self.levels and len(self.levels[-1]) <= len(new):
-            new = np.sort(np.concatenate([self.levels.pop(), new]), kind="stable")  # two sorted runs: a merge
-        if len(new):
-            self.levels.append(new)
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Takes a batch and returns its matches as pairs of numbers (of the batch, of the suffix that was there before)."""
+        order = np.argsort(keys, kind="stable")
+        keys, numbers = keys[order], numbers[order]
+        first = np.ones(len(keys), bool)
+        first[1:] = keys[1:] != keys[:-1]
+        group = np.cumsum(first) - 1
+        single, own = keys[first], numbers[first]
+        before, open_ = own.copy(), np.arange(len(own))
+        for level, theirs in self.levels:
+            at = np.minimum(np.searchsorted(level, single[open_]), len(level) - 1)
+            same = level[at] == single[open_]
+            before[open_[same]] = theirs[at[same]]
+            open_ = open_[~same]
+        match = ~first
+        match[np.flatnonzero(first)[before != own]] = True
+        matches = numbers[match], before[group[match]]
+        keys, numbers = single[open_], own[open_]
+        while self.levels and len(self.levels[-1][0]) <= len(keys):
+            level, own = self.levels.pop()
+            keys, numbers = np.concatenate([level, keys]), np.concatenate([own, numbers])
+            order = np.argsort(keys, kind="stable")  # two sorted runs: a merge
+            keys, numbers = keys[order], numbers[order]
+        if len(keys):
+            self.levels.append((keys, numbers))
         return matches
 
 
-def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of each w consecutive values."""
+def _sliding(v: np.ndarray, w: int, best=np.minimum) -> np.ndarray:
+    """Minimum (or maximum) of each w consecutive values."""
     n = len(v)
-    pad = -n % w
-    blocks = np.concatenate([v, np.full(pad, np.uint64(0xFFFFFFFFFFFFFFFF))]).reshape(-1, w)
-    head = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    tail = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(tail[: n - w + 1], head[w - 1 : n])
+    pad = np.full(-n % w, np.uint64(0xFFFFFFFFFFFFFFFF) if best is np.minimum else np.uint64(0))
+    blocks = np.concatenate([v, pad]).reshape(-1, w)
+    head = best.accumulate(blocks, axis=1).reshape(-1)
+    tail = best.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    return best(tail[: n - w + 1], head[w - 1 : n])
 
 
 def anchors(buf: np.ndarray, offs: np.ndarray, p: SuffixParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,78 +99,22 @@ def anchors(buf: np.ndarray, offs: np.ndarray, p: SuffixParams) -> tuple[np.ndar
     sums = prefix_sums(buf)
     _, q = _powers(n + 1)
     m = n - p.anchor + 1
-    key = mix((sums[p.anchor :] - sums[:m]) * q[:m])
+    key = mix((sums[p.anchor :] - sums[:m]) * q[:m]) | np.uint64(1)
     del sums
-    bits = np.uint64(max(1, int(m).bit_length()))
-    low = _sliding_min((key >> bits << bits) | np.arange(m, dtype=np.uint64), w)  # equal hashes: the leftmost
-    place = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    # windows that lie within one row
-    starts = np.arange(len(place))
-    ends = np.repeat(offs[1:], np.diff(offs))[: len(place)]
-    place = place[starts + p.length <= ends]
-    if not len(place):
-        return none, np.zeros(0, np.uint64), none
-    new = np.ones(len(place), bool)
-    new[1:] = place[1:] != place[:-1]
-    place = np.unique(place[new])
+    low = _sliding(key, w)
+    ends = np.repeat(offs[1:], np.diff(offs))[: len(low)]
+    low[np.arange(len(low)) + p.length > ends] = 0  # strings that lie in no one row
+    # the least key of some string: the largest of the minima of all strings that hold it is its own
+    edge = np.zeros(w - 1, np.uint64)
+    place = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), w, np.maximum) == key)
     return place, key[place], np.searchsorted(offs, place, "right") - 1
 
 
-def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
-def _bitmap(docs: DataFrame, shards: int, seg: int, p: SuffixParams):
-    """The bitmap of repeated prefixes: `seg` bits for each shard."""
-    import pandas as pd
-    import pyarrow as pa
-
-    def scan(batches):
-        for batch in batches:
-            for _, _, buf, offs in text_slices(batch.column("text")):
-                keys = np.sort(anchors(buf, offs, p)[1])
-                if not len(keys):
-                    continue
-                twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
-                keys = np.unique(keys)
-                cuts = [np.searchsorted(_shard(x, shards), np.arange(shards + 1)) for x in (keys, twice)]
-                rows = np.flatnonzero(np.diff(cuts[0]))
-                blobs = [[x[c[s] : c[s + 1]].tobytes() for s in rows] for x, c in zip((keys, twice), cuts, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(blobs[0], pa.binary()), pa.array(blobs[1], pa.binary())], names=["shard", "keys", "twice"])
-
-    def index(pdf: pd.DataFrame) -> pd.DataFrame:
-        family, bits = IndexFamily(), np.zeros(seg, bool)
-        mark = lambda keys: bits.__setitem__((mix(keys) % np.uint64(seg)).astype(np.int64), True)
-        waiting, n = [], 0
-        for i, (blob, twice) in enumerate(zip(pdf["keys"], pdf["twice"], strict=True)):
-            mark(np.frombuffer(twice, np.uint64))
-            waiting.append(np.frombuffer(blob, np.uint64))
-            n += len(waiting[-1])
-            if n >= p.batch_keys or i == len(pdf) - 1:
-                batch = np.sort(np.concatenate(waiting))
-                mark(batch[1:][batch[1:] == batch[:-1]])
-                mark(family.add(np.unique(batch)))
-                waiting, n = [], 0
-        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
-
-    found = docs.select("text").mapInArrow(scan, "shard long, keys binary, twice binary").groupBy("shard").applyInPandas(index, "shard long, bits binary")
-    out = np.zeros((shards, seg // 8), np.uint8)
-    for r in found.collect():  # a bitmap, at most max_bitmap_bytes
-        out[r.shard] = np.frombuffer(r.bits, np.uint8)
-    return out
-
-
-def _places(version: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each anchor."""
-    return mix(version + pos.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-def _occurrences(docs: DataFrame, bitmap, shards: int, seg: int, p: SuffixParams) -> DataFrame:
-    """key, around (a hash of the surroundings), place, doc_id, version, pos of each anchor that the bitmap lets through."""
+def _occurrences(docs: DataFrame, p: SuffixParams) -> DataFrame:
+    """key, around (a hash of the surroundings), place (a name), doc_id, version, pos of each anchor."""
     import pyarrow as pa
     from pyspark.sql.types import IntegerType, LongType
 
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
     before = p.length - p.anchor
     schema = docs.select("doc_id", "version").schema
     for name, kind in (("key", LongType()), ("around", LongType()), ("place", LongType()), ("pos", IntegerType())):
@@ -164,49 +125,77 @@ def _occurrences(docs: DataFrame, bitmap, shards: int, seg: int, p: SuffixParams
             versions = batch.column("version").to_numpy(zero_copy_only=False).view(np.uint64)
             for i, _, buf, offs in text_slices(batch.column("text")):
                 place, keys, row = anchors(buf, offs, p)
-                ok = _passes(sent.value, keys, shards, seg)
-                place, keys, row = place[ok], keys[ok], row[ok]
                 first, end = np.maximum(offs[row], place - before), np.minimum(offs[row + 1], place + p.length)
                 around = mix(span_hashes(prefix_sums(buf), first, end) + (place - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 at, pos = pa.array(row + i), place - offs[row]
-                arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), *(pa.array(x.view(np.int64)) for x in (keys, around, _places(versions[row + i], pos))), pa.array(pos.astype(np.int32))]
+                named = mix(versions[row + i] + pos.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+                arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), *(pa.array(x.view(np.int64)) for x in (keys, around, named)), pa.array(pos.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
     return docs.select("doc_id", "version", "text").mapInArrow(run, schema)
 
 
-def _passes(bitmap: np.ndarray, h: np.ndarray, shards: int, seg: int) -> np.ndarray:
-    bit = (mix(h) % np.uint64(seg)).astype(np.int64)
-    return (bitmap[_shard(h, shards), bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+KINDS_SCHEMA = "key long, around long, place long, n long"
+
 
+def _long_columns(batch) -> list[np.ndarray]:
+    return [c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns]
 
-def _place_bitmap(places: DataFrame, shards: int, seg: int) -> np.ndarray:
-    """The bitmap of chosen anchors, each shard's segment made by one task."""
+
+def _matched(p: SuffixParams):
+    """A function over batches of (key, around, place, n): distinct suffixes with their surroundings, and how often each stands."""
     import pyarrow as pa
 
     def run(batches):
-        made: dict[int, np.ndarray] = {}
+        family, held, size, total = IndexFamily(), [], 0, []
+        kept: list[list[np.ndarray]] = []
+        have = 0
+
+        def take():
+            nonlocal held, size, have
+            key, around, place, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            number = np.arange(have, have + len(key))
+            ours, theirs = family.add(mix(key ^ mix(around)), number)
+            count = n.astype(np.int64)
+            new = np.ones(len(key), bool)
+            new[ours - have] = False
+            kept.append([key, around, place, new])
+            total.append(count)
+            have += len(key)
+            held, size = [], 0
+            return ours, theirs
+
+        pairs = []
         for batch in batches:
-            h = batch.column("place").to_numpy().view(np.uint64)
-            shard, bit = _shard(h, shards), (mix(h) % np.uint64(seg)).astype(np.int64)
-            for n in np.unique(shard).tolist():
-                made.setdefault(n, np.zeros(seg, bool))[bit[shard == n]] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int64()), pa.array([np.packbits(x).tobytes() for x in made.values()], pa.binary())], names=["shard", "bits"])
-
-    shard = F.shiftrightunsigned(F.shiftrightunsigned("place", 32) * F.lit(shards), 32)
-    found = places.select("place", shard.alias("shard")).repartition(min(shards, 4096), "shard").select("place").mapInArrow(run, "shard long, bits binary")
-    out = np.zeros((shards, seg // 8), np.uint8)
-    for r in found.collect():  # a bitmap, at most max_bitmap_bytes
-        out[r.shard] |= np.frombuffer(r.bits, np.uint8)
-    return out
-
-
-def _surroundings(docs: DataFrame, bitmap, shards: int, seg: int, p: SuffixParams) -> DataFrame:
-    """key, doc_id, version, pos, left, right, around (bytes) of the anchors that were chosen, and hardly any others."""
+            held.append(_long_columns(batch))
+            size += batch.num_rows
+            if size >= p.batch_keys:
+                pairs.append(take())
+        if held:
+            pairs.append(take())
+        if not have:
+            return
+        count = np.concatenate(total)
+        for ours, theirs in pairs:
+            np.add.at(count, theirs, count[ours])
+        key, around, place, new = (np.concatenate(c) for c in zip(*kept, strict=True))
+        columns = [pa.array(c[new].view(np.int64)) for c in (key, around, place)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(count[new])], names=["key", "around", "place", "n"])
+
+    return run
+
+
+def _kinds(found: DataFrame, rows: int, p: SuffixParams) -> DataFrame:
+    """key, around, place, n of each distinct suffix with its surroundings; equal ones are counted before they are dealt out."""
+    small = found.select("key", "around", "place", F.lit(1).cast("long").alias("n")).mapInArrow(_matched(p), KINDS_SCHEMA)
+    return small.repartition(rows // p.task_anchors + 1, "key", "around").mapInArrow(_matched(p), KINDS_SCHEMA)
+
+
+def _surroundings(docs: DataFrame, chosen: DataFrame, p: SuffixParams) -> DataFrame:
+    """key, doc_id, version, pos, left, right, around (bytes) of the chosen anchors (doc_id, version, pos, key)."""
     import pyarrow as pa
     from pyspark.sql.types import BinaryType, IntegerType, LongType
 
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
     before, width = p.length - p.anchor, 2 * p.length - p.anchor
     schema = docs.select("doc_id", "version").schema
     for name, kind in (("key", LongType()), ("pos", IntegerType()), ("left", IntegerType()), ("right", IntegerType()), ("around", BinaryType())):
@@ -214,22 +203,29 @@ def _surroundings(docs: DataFrame, bitmap, shards: int, seg: int, p: SuffixParam
 
     def run(batches):
         for batch in batches:
-            versions = batch.column("version").to_numpy(zero_copy_only=False).view(np.uint64)
-            for i, _, buf, offs in text_slices(batch.column("text")):
-                place, keys, row = anchors(buf, offs, p)
-                ok = _passes(sent.value, _places(versions[row + i], place - offs[row]), shards, seg)
-                place, keys, row = place[ok], keys[ok], row[ok]
-                for s in range(0, len(place), 20_000):
-                    a, k, r = place[s : s + 20_000], keys[s : s + 20_000], row[s : s + 20_000]
+            lists = batch.column("at")
+            counts = np.diff(np.asarray(lists.offsets))
+            flat = lists.flatten()
+            pos_all, key_all = (np.asarray(flat.field(i)) for i in (0, 1))
+            row_all = np.repeat(np.arange(batch.num_rows), counts)
+            for i, j, buf, offs in text_slices(batch.column("text")):
+                lo, hi = np.searchsorted(row_all, [i, j])
+                for s in range(lo, hi, 20_000):
+                    e = min(hi, s + 20_000)
+                    pos, key, row = pos_all[s:e].astype(np.int64), key_all[s:e], row_all[s:e]
+                    a = offs[row - i] + pos
                     around = buf[np.clip(a[:, None] + np.arange(-before, p.length), 0, len(buf) - 1)]
                     offsets = pa.array(np.arange(0, (len(a) + 1) * width, width, dtype=np.int32)).buffers()[1]
                     blob = pa.Array.from_buffers(pa.binary(), len(a), [None, offsets, pa.py_buffer(around.tobytes())])
-                    at = pa.array(r + i)
-                    left, right = np.minimum(before, a - offs[r]), np.minimum(p.length, offs[r + 1] - a)
-                    arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), pa.array(k.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in (a - offs[r], left, right)), blob]
+                    left, right = np.minimum(before, pos), np.minimum(p.length, offs[row - i + 1] - a)
+                    at = pa.array(row)
+                    arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), pa.array(key), *(pa.array(x.astype(np.int32)) for x in (pos, left, right)), blob]
                     yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
-    return docs.select("doc_id", "version", "text").mapInArrow(run, schema)
+    by = chosen.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("pos", "key"))).alias("at"))  # a text's own anchors
+    by = by.select(F.col("doc_id").alias("d"), F.col("version").alias("v"), "at")
+    on = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v"))
+    return docs.join(by.hint("shuffle_hash"), on).select("doc_id", "version", "text", "at").mapInArrow(run, schema)
 
 
 def window_hashes(around: np.ndarray, left: np.ndarray, right: np.ndarray, p: SuffixParams) -> tuple[np.ndarray, np.ndarray]:
@@ -246,79 +242,78 @@ def window_hashes(around: np.ndarray, left: np.ndarray, right: np.ndarray, p: Su
     return hashes, (reach <= left[:, None]) & (p.length - reach <= right[:, None])
 
 
-def _extents(dup: np.ndarray, pos: np.ndarray, p: SuffixParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows, starts, ends): repeated strings that hold one anchor cover one interval."""
-    rows = np.flatnonzero(dup.any(1))
-    farthest = dup.shape[1] - 1 - dup[rows, ::-1].argmax(1)
-    nearest = dup[rows].argmax(1)
-    return rows, pos[rows] - farthest, pos[rows] - nearest + p.length
-
-
 def _as_matrix(column) -> np.ndarray:
     _, offsets, data = column.buffers()
     offs = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
     return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]].reshape(len(column), -1)
 
 
+class Repeats:
+    """The index family over all strings of some anchors' surroundings, and the interval of repeats of each anchor."""
+
+    def __init__(self, p: SuffixParams):
+        self.p, self.family, self.width = p, IndexFamily(), p.length - p.anchor + 1
+        self.around: list[np.ndarray] = []
+        self.rows = 0
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, key: np.ndarray, around: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        hashes, ok = window_hashes(around, left, right, self.p)
+        reach = np.arange(self.width, dtype=np.uint64)
+        flat = mix(hashes + mix(key[:, None] + reach) * np.uint64(0x9E3779B97F4A7C15))[ok]  # strings match at one place from one anchor
+        numbers = np.flatnonzero(ok.reshape(-1)) + self.rows * self.width
+        ours, theirs = self.family.add(flat, numbers)
+        self.around.append(around)
+        self.rows += len(key)
+        # of the strings of one anchor that match, the nearest and the farthest are enough
+        for mine, other in ((ours, theirs), (theirs, ours)):
+            row = mine // self.width
+            for order in (np.lexsort((mine, row)), np.lexsort((-mine, row))):
+                first = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
+                self.pairs.append((mine[first], other[first]))
+
+    def intervals(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, nearest reach, farthest reach) of the rows that have a repeat, with bytes compared."""
+        if not self.pairs:
+            return (np.zeros(0, np.int64),) * 3
+        around, w, size = np.concatenate(self.around), self.width, self.p.length
+        mine, other = (np.concatenate(c) for c in zip(*self.pairs, strict=True))
+        low, high = np.full(self.rows, w), np.full(self.rows, -1)
+        for s in range(0, len(mine), 20_000):
+            m, o = mine[s : s + 20_000], other[s : s + 20_000]
+            same = np.ones(len(m), bool)
+            for x in range(0, size, 50):  # a string begins (width - 1 - reach) bytes into the surroundings
+                step = np.arange(x, min(size, x + 50))
+                same &= (around[(m // w)[:, None], (w - 1 - m % w)[:, None] + step] == around[(o // w)[:, None], (w - 1 - o % w)[:, None] + step]).all(1)
+            np.minimum.at(low, m[same] // w, m[same] % w)
+            np.maximum.at(high, m[same] // w, m[same] % w)
+        rows = np.flatnonzero(high >= 0)
+        return rows, low[rows], high[rows]
+
+
 def _resolve(near: DataFrame, p: SuffixParams) -> DataFrame:
-    """doc_id, version, start, end from anchors that are partitioned and sorted by key."""
+    """doc_id, version, start, end from surroundings; all of one prefix are in one partition."""
     import pyarrow as pa
     from pyspark.sql.types import IntegerType
 
     schema = near.select("doc_id", "version").schema.add("start", IntegerType()).add("end", IntegerType())
 
-    def solve(table):
-        key = table.column("key").to_numpy()
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
-        table = table.take(pa.array(np.flatnonzero(np.repeat(size > 1, size)))) if (size == 1).any() else table
-        for part in _parts(table):
-            key = part.column("key").to_numpy()
-            hashes, ok = window_hashes(_as_matrix(part.column("around")), part.column("left").to_numpy(), part.column("right").to_numpy(), p)
-            group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]).astype(np.int64)])).astype(np.uint64)
-            column = np.arange(hashes.shape[1], dtype=np.uint64)
-            flat = mix(hashes + (group[:, None] * np.uint64(hashes.shape[1]) + column) * np.uint64(0x9E3779B97F4A7C15))[ok]
-            order = np.argsort(flat)
-            got = flat[order]
-            same = got[1:] == got[:-1]
-            twin = np.zeros(len(flat), bool)
-            twin[order[1:][same]] = True
-            twin[order[:-1][same]] = True
-            dup = np.zeros(ok.shape, bool)
-            dup[ok] = twin
-            rows, start, end = _extents(dup, part.column("pos").to_numpy(), p)
-            at = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("version").take(at), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=[f.name for f in schema.fields])
-
-    def _parts(table):
-        """Whole groups, some thousand rows at a time."""
-        key = table.column("key").to_numpy()
-        ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
-        i = 0
-        while i < len(key):
-            j = int(ends[min(np.searchsorted(ends, i + 8_000), len(ends) - 1)])
-            yield table.slice(i, j - i)
-            i = j
-
     def run(batches):
-        held: list = []
-        rows = 0
+        found, ids, pos = Repeats(p), [], []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column("key").to_numpy()
-            cut = int(np.searchsorted(key, key[-1]))  # the last group may go on in the next batch
-            if cut and rows + cut:
-                held.append(batch.slice(0, cut))
-                yield from solve(_joined(held))
-                held, rows = [], 0
-            held.append(batch.slice(cut))
-            rows += batch.num_rows - cut
-        if held:
-            yield from solve(_joined(held))
-
-    def _joined(held):
-        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            for s in range(0, batch.num_rows, 2_000):
+                b = batch.slice(s, 2_000)
+                found.add(b.column("key").to_numpy().view(np.uint64), _as_matrix(b.column("around")), b.column("left").to_numpy(), b.column("right").to_numpy())
+            ids.append(batch.select(["doc_id", "version"]))
+            pos.append(batch.column("pos").to_numpy())
+        if not ids:
+            return
+        rows, low, high = found.intervals()
+        every, at = pa.Table.from_batches(ids).take(pa.array(rows)), np.concatenate(pos)[rows]
+        columns = [every.column(c).combine_chunks() for c in ("doc_id", "version")]
+        columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) and c.num_chunks else c for c in columns]
+        if len(rows):
+            yield pa.RecordBatch.from_arrays([*columns, pa.array((at - high).astype(np.int32)), pa.array((at - low + p.length).astype(np.int32))], names=[f.name for f in schema.fields])
 
     return near.mapInArrow(run, schema)
 
@@ -353,27 +348,24 @@ def repeats(docs: DataFrame, params: SuffixParams | None = None) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("version", F.xxhash64("doc_id", "text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    expected = 2 * total // (p.length - p.anchor + 2) + 1
-    shards = min(1 << 20, int(expected // p.shard_keys) + 1)
-    seg = p.segment_bits
-    while shards * seg // 8 > p.max_bitmap_bytes and seg > 64:
-        seg //= 2
-    found = materialize(_occurrences(docs, _bitmap(docs, shards, seg, p), shards, seg, p), "occurrences")
-    kinds = materialize(found.groupBy("key", "around").agg(F.count("*").alias("n"), F.min("place").alias("place")), "kinds")
+    found = materialize(_occurrences(docs, p), "occurrences")
+    kinds = materialize(_kinds(found, found.count(), p), "kinds")
     whole = found.join(kinds.filter("n > 1").select("key", "around"), ["key", "around"], "left_semi")
     spans = whole.select("doc_id", "version", (F.col("pos") - (p.length - p.anchor)).alias("start"), (F.col("pos") + p.length).alias("end"))
     open_keys = kinds.groupBy("key").agg(F.count("*").alias("k"), F.min("n").alias("least")).filter("k > 1 AND least = 1").select("key", "k")
     chosen = materialize(kinds.join(open_keys, "key").select("key", "place", "k"), "chosen")
-    if not chosen.isEmpty():
-        near = _surroundings(docs, _place_bitmap(chosen, shards, seg), shards, seg, p)
+    size = chosen.count()
+    if size:
+        places = found.select("doc_id", "version", "pos", "key", "place").join(chosen.select("place").distinct(), "place", "left_semi")
+        near = _surroundings(docs, places, p)
         hot = materialize(chosen.filter(F.col("k") > p.group_rows).select("key").distinct(), "hot")
+        parts = size // p.task_rows + 1
         if hot.isEmpty():
-            spans = spans.unionByName(_resolve(near.repartition("key").sortWithinPartitions("key"), p))
+            spans = spans.unionByName(_resolve(near.repartition(parts, "key"), p))
         else:
-            few = checked_broadcast(hot, 100_000)
-            spans = spans.unionByName(_resolve(near.join(few, "key", "left_anti").repartition("key").sortWithinPartitions("key"), p))
-            spans = spans.unionByName(_resolve_hot(near.join(few, "key", "left_semi"), p))
+            near = materialize(near, "near")
+            spans = spans.unionByName(_resolve(near.join(hot, "key", "left_anti").repartition(parts, "key"), p))
+            spans = spans.unionByName(_resolve_hot(near.join(hot, "key", "left_semi"), p))
     per_row = materialize(spans, "spans").groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # at most a row's own anchors
     per_row = per_row.select(F.col("doc_id").alias("d"), F.col("version").alias("v"), F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
     joined = docs.join(per_row.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left").select("doc_id", "text", "starts", "ends")
