@@ -110,6 +110,7 @@ def test_growth(spark):
 def test_snapshot_dedup(spark):
     t = lambda d: datetime(2026, 1, d)
     items = spark.createDataFrame([("1", "x", t(1), 9, 0), ("2", "x", t(2), 1, 0), ("3", "x", t(2), 1, 1), ("4", None, t(1), 0, 0), ("5", None, t(1), 0, 0)], "item_id string, url_tag string, posted_at timestamp, likes long, comments long")
+    items = items.withColumn("source", F.lit("instagram")).withColumn("views", F.lit(0))
     assert {r.item_id for r in snapshots.dedup(items).collect()} == {"3", "4", "5"}
     assert {r.item_id for r in snapshots.dedup_by_engagement(items).collect()} == {"1", "4", "5"}
 
@@ -172,17 +173,13 @@ def test_mentions(spark):
 
 def test_picks(spark):
     fan = spark.createDataFrame([("1", "X", 0.6), ("1", "Y", 0.3), ("1", "Z", 0.05), ("2", "X", 1.0), ("3", "unclassified", 1.0)], "item_id string, cluster string, share double")
-    items = spark.createDataFrame([("1", "instagram", 5, 1), ("2", "instagram", 5, 1), ("3", "instagram", 5, 1)], "item_id string, source string, likes long, comments long")
+    items = spark.createDataFrame([("1", "instagram", 5, 1, 0, 1), ("2", "instagram", 5, 1, 0, 2), ("3", "instagram", 5, 1, 0, 3)], "item_id string, source string, likes long, comments long, views long, seq long")
+    videos = spark.createDataFrame([("v", "X", 1.0), ("w", "X", 1.0)], fan.schema), spark.createDataFrame([("v", "youtube", 9, 0, 1, 4), ("w", "youtube", 1, 0, 50, 5)], items.schema)
+    assert {(r["rank"], r.item_id) for r in ranking.cluster_picks(*videos).collect()} == {(1, "w")}  # views count, one for each cluster
     assert {(r.cluster, r["rank"], r.item_id) for r in ranking.cluster_picks(fan, items).collect()} == {("X", 1, "1"), ("X", 2, "2"), ("Y", 1, "1")}
     assert {(r.item_id, r.cluster) for r in ranking.winner(fan.unionByName(fan.limit(0))).collect()} == {("1", "X"), ("2", "X"), ("3", "unclassified")}
 
 
-def test_partial_assignment(spark):
-    rows = [("e1", date(2026, 1, 1), "k", "a"), ("e2", date(2026, 1, 1), "k", "b"), ("p0", date(2026, 1, 1), "k", None), ("p1", date(2026, 1, 2), "k", None), ("e3", date(2026, 1, 2), "k", "b"), ("p2", date(2026, 1, 3), "k", None), ("p3", date(2026, 1, 3), "z", None)]
-    got = {r.item_id: r.cluster for r in ranking.partial_assignment(spark.createDataFrame(rows, "item_id string, d date, g string, f string"), "d").collect()}
-    assert got == {"p0": "k__unknown", "p1": "k__a", "p2": "k__b", "p3": "z__unknown"}
-
-
 def test_merge_colors():
     lab, weight, family = palette.merge_colors(np.array([[50.0, 0, 0], [52.0, 0, 0], [90.0, 0, 0], [59.9, 0, 0]]), np.array([1.0, 3.0, 1.0, 1.0]), ["earth", "jewel", "pastel", None], 10.0)
     assert len(weight) == 2 and weight.tolist() == [5.0, 1.0] and family == ["jewel", "pastel"] and lab[0][0] == pytest.approx((50 + 156 + 59.9) / 5)
@@ -218,3 +215,62 @@ def test_frame_quality():
     out = next(palette.frame_quality(iter([pd.DataFrame({"frame_id": [1, 2], "pixels": [flat, sharp], "width": [8, 8]})])))
     assert out["blur"][0] == 0 and out["blur"][1] > 0 and out["brightness"][0] == 100
     assert np.ptp(palette.shades_of_gray(np.array([[100.0, 50.0, 100.0]]))) < 1
+
+
+def test_assignment_in_order():
+    from trendloom.operators.ranking import assign
+
+    keys = assign([("a", None), ("a", "x"), ("a", None), ("a", "y"), ("a", "y"), (None, "y"), ("a", None), (None, None), (None, "z"), ("b", "y"), (None, "y")])
+    # the first has nothing to follow; one that follows counts for what it follows: a__x leads 2, then a__y with 3
+    assert keys == ["a__unknown", "a__x", "a__x", "a__y", "a__y", "a__y", "a__y", "unclassified", "unknown__z", "b__y", "a__y"]
+
+
+def test_assignment_by_batch(spark):
+    from trendloom.operators.ranking import partial_assignment
+
+    rows = [("1", 1, "a", "x", 1), ("2", 2, "a", None, 1), ("3", 3, None, "x", 2), ("4", 4, None, None, 2)]
+    got = {r.item_id: r.cluster for r in partial_assignment(spark.createDataFrame(rows, "item_id string, seq long, g string, f string, day int"), "day").collect()}
+    assert got == {"1": "a__x", "2": "a__x", "3": "unknown__x", "4": "unclassified"}
+    empty = spark.createDataFrame([], "item_id string, seq long, g string, f string, day int")
+    assert partial_assignment(empty, "day").count() == 0
+
+
+def test_first_seen_is_of_all_days(spark):
+    from trendloom.operators import emergence
+
+    rows = [(str(i), "newword", f"2024-03-{10 + i % 5:02d}", "instagram", False) for i in range(8)] + [("x", "newword", "2023-01-02", "instagram", False)]
+    rows += [(str(i), "kurta", f"2024-03-{10 + i % 5:02d}", "instagram", True) for i in range(8)]
+    cleaned = spark.createDataFrame(rows, "item_id string, tag string, d string, source string, known boolean").withColumn("d", F.col("d").cast("date"))
+    from datetime import date
+
+    (one,) = emergence.signals(cleaned, date(2024, 3, 17)).collect()
+    assert (one.tag, one.spike, one.first_seen) == ("newword", 8, date(2023, 1, 2))
+    weeks = {r.week: r.spike for r in emergence.weekly_signals(cleaned).collect()}
+    assert weeks == {date(2024, 3, 11): 8, date(2024, 3, 18): 7}
+
+
+def test_scores_with_history(spark):
+    from datetime import date
+
+    from trendloom.operators import scoring
+
+    items = spark.createDataFrame(
+        [("1", "instagram", "hashtag_haul", 50, 100, 10, 0), ("2", "youtube", None, 0, 5, 1, 1000), ("3", "instagram", "bollywood_decode", 2_000_000, 2_000_000, 0, 0), ("4", "youtube", "bollywood_decode", 0, 1, 0, 10)],
+        "item_id string, source string, source_type string, followers long, likes long, comments long, views long",
+    )
+    fan = spark.createDataFrame([("1", "a__x", 0.5), ("2", "a__x", 2.0), ("3", "b__y", 1.0), ("4", "b__y", 0.0)], "item_id string, cluster string, share double")
+    tags = spark.createDataFrame([("1", "#AkshayaTritiya"), ("2", "#other")], "item_id string, tag string")
+    day = date(2026, 4, 20)
+    acc = {r.cluster: r for r in scoring.accumulators(fan, items, festive=scoring.festival_items(tags, day)).collect()}
+    a, b = acc["a__x"], acc["b__y"]
+    # 100 / 100 + 2 * 10 / 100 = 1.2, haul 1.5; views 1000 + 5 + 2 = 1007
+    assert abs(a.social - 1.2 * 1.5 * 0.5) < 1e-9 and abs(a.views - 2014) < 1e-9 and a.videos == 2 and a.posts == 2.5 and abs(a.festival - 0.75) < 1e-9 and a.presence == 0
+    assert abs(a.rate - (0.9 + 2014) / 2.5) < 1e-9 and abs(b.social - 1.0 * 2.0 * 1.1) < 1e-9 and b.presence == 1 and b.views == 0
+    assert scoring.festival_items(tags, date(2026, 6, 1)).count() == 0
+    history = spark.createDataFrame([("a__x", date(2026, 4, 13), 50.0, 7.0, 30.0, 4.0), ("a__x", date(2026, 4, 12), 1.0, 100.0, 20.0, 2.0), ("a__x", day, 9.0, 9.0, 9.0, 9.0)], "cluster string, d date, score double, posts double, views double, tags double")
+    entities = spark.createDataFrame([("a__x", date(2026, 3, 1), "instagram", "old"), ("a__x", date(2025, 1, 1), "instagram", "older")], "cluster string, d date, source string, account string")
+    batch = spark.createDataFrame([("a__x", "instagram", "old"), ("a__x", "instagram", "older"), ("a__x", "youtube", "new"), ("a__x", "youtube", None)], "cluster string, source string, account string")
+    frame = spark.createDataFrame(list(acc.values()))
+    c = {r.cluster: r for r in scoring.contexts(frame, history, entities, batch, day).collect()}["a__x"]
+    assert (c.post_growth, c.view_growth, c.velocity, c.new_ig, c.new_yt, c.posts_total, c.base) == (1.5, 0.5, 1.0, 0.5, 1.0, 109.5, 50.0)
+    assert scoring.updated(history, history.filter(F.col("d") == F.lit(day)).withColumn("score", F.lit(1.0))).filter(F.col("d") == F.lit(day)).collect()[0].score == 1.0

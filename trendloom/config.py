@@ -27,13 +27,16 @@ class ScoringConfig:
     video_weights: tuple[float, float, float] = (0.3, 0.4, 0.3)
     cultural_weights: tuple[float, float] = (0.6, 0.4)
     festival_boost: float = 1.5
-    festival_window: tuple[date, date] = (date(2026, 4, 13), date(2026, 5, 11))
-    festival_tags: tuple[str, ...] = ("akshayatritiya", "akshayatritiya2026", "goldethnic")
+    #: First day, last day and tags of each festival; a day belongs to the first that holds it.
+    festivals: tuple[tuple[date, date, tuple[str, ...]], ...] = ((date(2026, 4, 13), date(2026, 5, 11), ("akshayatritiya", "akshayatritiya2026", "goldethnic")),)
     momentum_weights: tuple[float, float, float, float] = (0.4, 0.3, 0.15, 0.15)
     window_days: int = 7
     new_entity_days: int = 90
     maturity_days: tuple[int, int] = (3, 7)
 
+    def active_festival_tags(self, day: date) -> tuple[str, ...]:
+        return next((tags for first, last, tags in self.festivals if first <= day <= last), ())
+
     def __post_init__(self) -> None:
         total = self.weight_social + self.weight_youtube + self.weight_cultural + self.weight_momentum
         if abs(total - 100.0) > 1e-9:

@@ -35,6 +35,11 @@ def group_weight(n: Column, area: Column) -> Column:
     return F.when(n > 0, F.log2(n + F.lit(1.0)) * F.log2(100 * F.greatest(area, F.lit(0.0)) + 1)).otherwise(F.lit(0.0))
 
 
+def raw_engagement(source: Column, likes: Column, comments: Column, views: Column) -> Column:
+    """Likes and twice the comments, and a video's views."""
+    return likes + 2 * comments + F.when(source == "youtube", F.coalesce(views, F.lit(0))).otherwise(F.lit(0))
+
+
 def object_weight(area: Column) -> Column:
     return F.log2(100 * F.greatest(area, F.lit(0.0)) + 1)
 

@@ -37,11 +37,11 @@ def post_counters(cleaned: DataFrame, least: float = 0.5) -> DataFrame:
 
 
 def signals(cleaned: DataFrame, anchor: date, dense: float = 0.5) -> DataFrame:
-    """tag, spike, first_seen, n_posts: unknown tags that are new, frequent enough and in the right company."""
+    """tag, spike, first_seen (of all its days), n_posts: unknown tags that are new, frequent enough and in the right company."""
     spike0, base0 = anchor - timedelta(days=SPIKE_DAYS - 1), anchor - timedelta(days=SPIKE_DAYS + BASE_DAYS - 1)
     within = lambda a, b: F.col("d").between(F.lit(a), F.lit(b))
     counted = cleaned.filter(~F.col("known")).groupBy("tag").agg(
-        F.count(F.when(within(spike0, anchor), 1)).alias("spike"), F.count(F.when(within(base0, spike0 - timedelta(days=1)), 1)).alias("base"), F.min(F.when(within(spike0, anchor), F.col("d"))).alias("first_seen")
+        F.count(F.when(within(spike0, anchor), 1)).alias("spike"), F.count(F.when(within(base0, spike0 - timedelta(days=1)), 1)).alias("base"), F.min("d").alias("first_seen")
     )
     hot = counted.filter((F.col("base") <= 0) & (F.col("spike") >= MIN_SPIKE)).join(post_counters(cleaned, dense), "tag")
     return hot.filter((F.col("n_posts") >= MIN_POSTS) & (F.col("n_fashion") >= MIN_FASHION * F.col("n_posts"))).select("tag", "spike", "first_seen", "n_posts")
@@ -52,10 +52,18 @@ def signal_type(sources):
     return F.when(F.array_contains(sources, "hashtag"), "hashtag").otherwise(F.array_min(F.filter(sources, lambda s: s.startswith("vision_"))))
 
 
-def weekly_signals(cleaned: DataFrame, weeks: list[date], dense: float = 0.5) -> DataFrame:
-    """Signals at the Sunday of each of the given weeks (Mondays), evaluated on the full history."""
-    out = None
-    for monday in weeks:
-        one = signals(cleaned, monday + timedelta(days=6), dense).withColumn("week", F.lit(monday))
-        out = one if out is None else out.unionByName(one)
-    return out
+def weekly_signals(cleaned: DataFrame, dense: float = 0.5) -> DataFrame:
+    """week (Monday), tag, spike, first_seen, n_posts of every week that a tag can be a signal of, each judged at its Sunday.
+
+    A tag's days are summed once; its weeks are those whose spike window holds one of its days, so a tag has at most three
+    candidate weeks for each of its days, whatever the length of the history.
+    """
+    days = cleaned.filter(~F.col("known")).groupBy("tag", "d").agg(F.count("*").alias("n"))
+    first = days.groupBy("tag").agg(F.min("d").alias("first_seen"))
+    weeks = F.sequence(C.monday(F.col("d")), C.monday(F.date_add("d", SPIKE_DAYS - 1)), F.expr("INTERVAL 7 DAYS"))
+    at = days.select("tag", F.explode(weeks).alias("week")).distinct().withColumn("anchor", F.date_add("week", 6))
+    ago = F.datediff("anchor", "d")
+    both = at.join(days, "tag").filter(ago.between(0, SPIKE_DAYS + BASE_DAYS - 1))
+    summed = both.groupBy("tag", "week").agg(F.sum(F.when(ago < SPIKE_DAYS, F.col("n")).otherwise(0)).alias("spike"), F.sum(F.when(ago >= SPIKE_DAYS, F.col("n")).otherwise(0)).alias("base"))
+    hot = summed.filter((F.col("base") <= 0) & (F.col("spike") >= MIN_SPIKE)).join(first, "tag").join(post_counters(cleaned, dense), "tag")
+    return hot.filter((F.col("n_posts") >= MIN_POSTS) & (F.col("n_fashion") >= MIN_FASHION * F.col("n_posts"))).select("week", "tag", "spike", "first_seen", "n_posts")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendloom.functions import columns as C
+
 
 def top_posts(mass: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     """Per cluster the posts of most engagement times share; an item with two groups of one cluster stands twice."""
@@ -33,11 +35,17 @@ def first_targets(items: DataFrame, k: int) -> DataFrame:
     return items.filter(F.col("garment").isNull()).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def cluster_picks(fanout: DataFrame, items: DataFrame, k: int = 5, least: float = 0.10) -> DataFrame:
-    """Per cluster and source the k items of most engagement with enough share; an item may be picked for several clusters."""
-    own = fanout.filter((F.col("share") >= least) & (F.col("cluster") != "unclassified")).join(items.select("item_id", "source", (F.col("likes") + 2 * F.col("comments")).alias("e")), "item_id")
-    order = Window.partitionBy("cluster", "source").orderBy(F.desc("e"), "item_id")
-    return own.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("cluster", "source", "rank", "item_id")
+def cluster_picks(fanout: DataFrame, items: DataFrame, caps: dict[str, int] | None = None, least: float = 0.10) -> DataFrame:
+    """Per cluster and source the items of most raw engagement with enough share, ties in input order; caps by source."""
+    caps = caps or {"instagram": 5, "youtube": 1}
+    raw = C.raw_engagement(F.col("source"), F.col("likes"), F.col("comments"), F.col("views"))
+    own = fanout.filter((F.col("share") >= least) & (F.col("cluster") != "unclassified")).join(items.select("item_id", "source", "seq", raw.alias("e")), "item_id")
+    order = Window.partitionBy("cluster", "source").orderBy(F.desc("e"), "seq", "item_id")
+    cap = F.lit(0)
+    for source, k in caps.items():
+        cap = F.when(F.col("source") == source, F.lit(k)).otherwise(cap)
+    ranked = own.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(caps.values()))  # limits before the shuffle
+    return ranked.filter(F.col("rank") <= cap).select("cluster", "source", "rank", "item_id")
 
 
 def winner(fanout: DataFrame) -> DataFrame:
@@ -51,19 +59,42 @@ def rank_change(before: DataFrame, after: DataFrame, k: int) -> DataFrame:
     return top(before, "old_rank").join(top(after, "new_rank"), "cluster", "full_outer").select("cluster", "old_rank", "new_rank")
 
 
-def partial_assignment(items: DataFrame, day: str) -> DataFrame:
-    """item_id, cluster: items with one known axis take the key that was most frequent among earlier exact items with that axis.
+def assign(axes: list[tuple[str | None, str | None]]) -> list[str]:
+    """Keys of items in order: known axes are the key, none is unclassified; one takes the key that leads so far among those with it.
 
-    Counts run by day (one row for each day and key), so that no task holds the item stream.
+    Every item of an exact key counts for it, also one that took it by one axis; ties go to the first key.
+    """
+    totals: dict[str, int] = {}
+    with_axis: dict[tuple[int, str], dict[str, None]] = {}
+    out = []
+    for g, f in axes:
+        if g is None and f is None:
+            out.append("unclassified")
+            continue
+        key = f"{g or 'unknown'}__{f or 'unknown'}"
+        if g is None or f is None:
+            near = with_axis.get((0, g) if f is None else (1, f))
+            if near:
+                key = min(near, key=lambda k: (-totals[k], k))
+        out.append(key)
+        if "unknown" not in key:
+            if key not in totals:
+                for at, part in enumerate(key.split("__")):
+                    with_axis.setdefault((at, part), {})[key] = None
+            totals[key] = totals.get(key, 0) + 1
+    return out
+
+
+def partial_assignment(items: DataFrame, batch: str) -> DataFrame:
+    """item_id, cluster of every item (item_id, seq, g, f), each batch in its own order and from no totals.
+
+    What an item takes depends on all before it in its batch, so a batch is one task of four small columns.
     """
-    exact = items.filter(F.col("g").isNotNull() & F.col("f").isNotNull())
-    daily = exact.groupBy(day, "g", "f").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("g", "f").orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-    daily = daily.withColumn("n", F.sum("n").over(upto)).withColumn("key", F.concat_ws("__", "g", "f"))
-    until = F.lead(day).over(Window.partitionBy("g", "f").orderBy(day))
-    spans = daily.withColumn("until", until)
-    partial = items.filter(F.col("g").isNotNull() & F.col("f").isNull()).select("item_id", day, "g")
-    days = partial.select(day, "g").distinct()
-    s = spans.select(F.col("g"), F.col(day).alias("since"), "until", "key", "n")
-    best = days.join(s, "g").filter((F.col("since") < F.col(day)) & (F.col("until").isNull() | (F.col("until") >= F.col(day)))).groupBy(day, "g").agg(F.min_by("key", F.struct(-F.col("n"), F.col("key"))).alias("key"))
-    return partial.join(best, [day, "g"], "left").select("item_id", F.coalesce("key", F.concat(F.col("g"), F.lit("__unknown"))).alias("cluster"))
+    own = items.select("item_id", "seq", "g", "f", F.col(batch).alias("batch"))
+
+    def run(pdf):
+        pdf = pdf.sort_values(["seq", "item_id"])
+        axes = [(g if isinstance(g, str) else None, f if isinstance(f, str) else None) for g, f in zip(pdf["g"], pdf["f"], strict=True)]
+        return pdf[["item_id"]].assign(cluster=assign(axes))
+
+    return own.groupBy("batch").applyInPandas(run, items.select("item_id").schema.add("cluster", "string"))

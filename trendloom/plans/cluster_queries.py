@@ -16,6 +16,9 @@ def _word(c: str) -> str:
     return f"translate(lower(trim({c})), ' -', '__')"
 
 
+#: A day of the configured festival, for the queries that score.
+FESTIVE_DAY = SCORING.festivals[0][0]
+
 #: Groups with their axes, as axes.normalized has them.
 NORMAL = f"""n AS (SELECT *, CASE WHEN coalesce(dress_as_single, FALSE) THEN coalesce(upper_is_ethnic, FALSE) ELSE coalesce(upper_is_ethnic, FALSE) OR coalesce(lower_is_ethnic, FALSE) END AS is_ethnic,
   CASE WHEN coalesce(upper_is_ethnic, FALSE) THEN {case(_word("upper_word"), vocab.GARMENT_WORDS)} END AS garment,
@@ -32,13 +35,14 @@ CONTRIB = f"""{FAN}, c AS (SELECT fan.*, i.source, share * {MULT} AS contributio
 #: Fan-out of mass, as axes.fanout_mass has it.
 MASS = f"""{NORMAL}, m AS (SELECT *, log2(sum(n_objects) OVER (PARTITION BY item_id) + 1.0) AS g, sum(weight) OVER (PARTITION BY item_id) AS t FROM n WHERE is_ethnic),
 mass AS (SELECT item_id, canonical_index, {KEY} AS cluster, CASE WHEN t > 0 THEN g * (weight / t) ELSE 0 END AS share FROM m WHERE garment IS NOT NULL OR fabric IS NOT NULL)"""
-ENGAGEMENT = """(likes + 2 * comments) * CASE WHEN followers >= 1000000 THEN 2.0 WHEN followers >= 100000 THEN 1.5 WHEN followers >= 10000 THEN 1.2 ELSE 1.0 END
- * CASE source_type WHEN 'influencer_fixed' THEN 1.0 WHEN 'hashtag_tracking' THEN 1.2 WHEN 'hashtag_haul' THEN 1.5 WHEN 'bollywood_decode' THEN 1.1 ELSE 1.0 END"""
 RATE = "(likes / greatest(coalesce(followers, 0), 100) + 2 * comments / greatest(coalesce(followers, 0), 100))"
+RAW = "(likes + 2 * comments + CASE WHEN source = 'youtube' THEN coalesce(views, 0) ELSE 0 END)"
+ENGAGEMENT = f"""{RATE} * CASE WHEN followers >= 1000000 THEN 2.0 WHEN followers >= 100000 THEN 1.5 WHEN followers >= 10000 THEN 1.2 ELSE 1.0 END
+ * CASE source_type WHEN 'influencer_fixed' THEN 1.0 WHEN 'hashtag_tracking' THEN 1.2 WHEN 'hashtag_haul' THEN 1.5 WHEN 'bollywood_decode' THEN 1.1 ELSE 1.0 END"""
 ACC = f"""{MASS}, acc AS (SELECT cluster, sum(CASE WHEN source = 'instagram' THEN {ENGAGEMENT} * share ELSE 0 END) AS social, sum(CASE WHEN source = 'youtube' THEN share ELSE 0 END) AS videos,
- sum(CASE WHEN source = 'youtube' THEN views * share ELSE 0 END) AS views, sum(share) AS posts, sum(CASE WHEN source_type = 'bollywood_decode' THEN share ELSE 0 END) AS presence, sum({RATE} * share) AS rate
- FROM mass JOIN items USING (item_id) GROUP BY cluster)"""
-RAWF = f"""{ACC}, f AS (SELECT cluster, posts, social AS f1, CASE WHEN videos > 0 OR views > 0 THEN 0.3 * videos + 0.4 * views ELSE 0 END AS f2, 0.4 * presence AS f3 FROM acc),
+ sum(CASE WHEN source = 'youtube' THEN {RAW} * share ELSE 0 END) AS views, sum(share) AS posts, sum(CASE WHEN source = 'instagram' AND source_type = 'bollywood_decode' THEN share ELSE 0 END) AS presence,
+ sum(CASE WHEN item_id IN (SELECT item_id FROM tags WHERE lower(ltrim(tag, '#')) IN ('akshayatritiya', 'akshayatritiya2026', 'goldethnic')) THEN 1.5 * share ELSE 0 END) AS festival FROM mass JOIN items USING (item_id) WHERE share > 0 GROUP BY cluster)"""
+RAWF = f"""{ACC}, f AS (SELECT cluster, posts, social AS f1, CASE WHEN videos > 0 OR views > 0 THEN 0.3 * videos + 0.4 * views ELSE 0 END AS f2, 0.6 * festival + 0.4 * presence AS f3 FROM acc),
 l AS (SELECT min(f1) a1, max(f1) b1, min(f2) a2, max(f2) b2, min(f3) a3, max(f3) b3 FROM f),
 s AS (SELECT cluster, posts, CASE WHEN b1 > a1 THEN 40 * ((f1 - a1) / (b1 - a1)) ELSE 0.0 END AS social, CASE WHEN b2 > a2 THEN 25 * ((f2 - a2) / (b2 - a2)) ELSE 0.0 END AS youtube,
  CASE WHEN b3 > a3 THEN 15 * ((f3 - a3) / (b3 - a3)) ELSE 0.0 END AS cultural, 0.0 AS momentum FROM f, l)"""
@@ -52,6 +56,11 @@ def _r(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
 
+def acc(d: Data) -> DataFrame:
+    """The accumulators on a day inside the festival."""
+    return scoring.accumulators(axes.fanout_mass(groups(d)), d.items, SCORING, scoring.festival_items(d.tags, FESTIVE_DAY))
+
+
 def contributions(d: Data) -> DataFrame:
     return axes.contributions(axes.fanout_normalized(groups(d)), d.items)
 
@@ -177,10 +186,9 @@ def _(d: Data):
     return _r(distributions.brand_distribution(axes.fanout_normalized(groups(d)), d.item_brands), "pct")
 
 
-@query("E20_cluster_accumulators", f"WITH {ACC} SELECT cluster, round(social, 4) AS social, round(videos, 6) AS videos, round(views, 4) AS views, round(posts, 6) AS posts, round(presence, 6) AS presence, round(rate, 6) AS rate FROM acc")
+@query("E20_cluster_accumulators", f"WITH {ACC} SELECT cluster, round(social, 6) AS social, round(videos, 6) AS videos, round(views, 4) AS views, round(posts, 6) AS posts, round(presence, 6) AS presence, round(festival, 6) AS festival, round((social + views) / CASE WHEN posts > 0 THEN posts ELSE 1 END, 4) AS rate FROM acc")
 def _(d: Data):
-    acc = scoring.accumulators(axes.fanout_mass(groups(d)), d.items)
-    return acc.select("cluster", *[F.round(c, n).alias(c) for c, n in (("social", 4), ("videos", 6), ("views", 4), ("posts", 6), ("presence", 6), ("rate", 6))])
+    return acc(d).select("cluster", *[F.round(c, n).alias(c) for c, n in (("social", 6), ("videos", 6), ("views", 4), ("posts", 6), ("presence", 6), ("festival", 6), ("rate", 4))])
 
 
 @query("E19_drilldown", f"""WITH {MASS}, v AS (SELECT mass.cluster, n.styling AS value, sum(mass.share) AS w FROM mass JOIN n USING (item_id, canonical_index) WHERE n.styling IS NOT NULL GROUP BY ALL),
@@ -205,15 +213,15 @@ def _(d: Data):
     return _r(axes.cross_fanout(distributions.item_distribution(g, "garment"), distributions.item_distribution(g, "fabric")), "share")
 
 
-@query("F15_minmax", f"WITH {RAWF} SELECT cluster, round(f1, 4) AS f_social, round(CASE WHEN b1 > a1 THEN (f1 - a1) / (b1 - a1) ELSE 0 END, 6) AS scaled FROM f, l")
+@query("F15_minmax", f"WITH {RAWF} SELECT cluster, round(f1, 6) AS f_social, round(CASE WHEN b1 > a1 THEN (f1 - a1) / (b1 - a1) ELSE 0 END, 6) AS scaled FROM f, l")
 def _(d: Data):
-    raw = scoring.raw_factors(scoring.accumulators(axes.fanout_mass(groups(d)), d.items))
+    raw = scoring.raw_factors(acc(d))
     limits = raw.agg(F.min("f_social").alias("a"), F.max("f_social").alias("b"))
-    return raw.crossJoin(F.broadcast(limits)).select("cluster", F.round("f_social", 4).alias("f_social"), F.round(C.ratio(F.col("f_social") - F.col("a"), F.col("b") - F.col("a")), 6).alias("scaled"))
+    return raw.crossJoin(F.broadcast(limits)).select("cluster", F.round("f_social", 6).alias("f_social"), F.round(C.ratio(F.col("f_social") - F.col("a"), F.col("b") - F.col("a")), 6).alias("scaled"))
 
 
 def scored(d: Data) -> DataFrame:
-    return scoring.scores(scoring.raw_factors(scoring.accumulators(axes.fanout_mass(groups(d)), d.items)))
+    return scoring.scores(scoring.raw_factors(acc(d)))
 
 
 @query("J5_score_breakdown", f"WITH {RAWF} SELECT cluster, round(social, 6) AS social, round(youtube, 6) AS youtube, round(cultural, 6) AS cultural, round(momentum, 6) AS momentum, round(social + youtube + cultural + momentum, 6) AS score FROM s")
@@ -221,10 +229,9 @@ def _(d: Data):
     return _r(scored(d).drop("posts"), "social", "youtube", "cultural", "momentum", "score")
 
 
-@query("J8_lifecycle", f"""WITH {RAWF} SELECT cluster, CASE WHEN posts < 10 THEN 'early' WHEN social + youtube + cultural < 30 THEN 'early' WHEN posts > 400 THEN 'decline' WHEN social + youtube + cultural >= 65 THEN 'maturity' ELSE 'growth' END AS stage FROM s""")
+@query("J8_lifecycle", f"""WITH {RAWF} SELECT cluster, CASE WHEN posts < 10 THEN 'early' WHEN social + youtube + cultural < 30 THEN 'early' WHEN social + youtube + cultural >= 65 THEN 'maturity' ELSE 'growth' END AS stage FROM s""")
 def _(d: Data):
-    trend = F.when(F.col("posts") > 400, "down").otherwise("flat")
-    return scored(d).select("cluster", C.lifecycle(F.col("score"), F.col("posts"), trend).alias("stage"))
+    return scored(d).select("cluster", C.lifecycle(F.col("score"), F.col("posts"), F.lit("flat")).alias("stage"))
 
 
 @query("J12_display_boost", f"""WITH {RAWF}, b AS (SELECT *, social + youtube + cultural + momentum AS score FROM s) SELECT cluster, round(least(score * 2, 100), 6) AS score,
@@ -260,7 +267,7 @@ def _(d: Data):
  SELECT CAST(count(*) FILTER (a.cluster IS NOT NULL AND b.cluster IS NOT NULL) AS BIGINT) AS matched, CAST(count(*) FILTER (b.cluster IS NULL) AS BIGINT) AS rep_only, CAST(count(*) FILTER (a.cluster IS NULL) AS BIGINT) AS summary_only FROM a FULL JOIN b ON a.cluster = b.cluster""")
 def _(d: Data):
     a = axes.representatives(contributions(d)).select("cluster", F.lit(1).alias("a"))
-    b = scoring.accumulators(axes.fanout_mass(groups(d)), d.items).filter("videos > 50").select("cluster", F.lit(1).alias("b"))
+    b = acc(d).filter("videos > 50").select("cluster", F.lit(1).alias("b"))
     has = lambda c: F.count(F.when(c, 1))
     j = a.join(b, "cluster", "full_outer")
     return j.agg(has(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("matched"), has(F.col("b").isNull()).alias("rep_only"), has(F.col("a").isNull()).alias("summary_only"))
@@ -292,11 +299,11 @@ def _(d: Data):
     return _r(snapshots.growth_factor(snapshots.growth_rate(d.snapshots)).select("source", "url_tag", "factor"), "factor")
 
 
-@query("D6_growth_join", f"""WITH {MASS}, fa AS (SELECT source, concat('T', CAST(CAST(substr(url_tag, 2, 2) AS INT) * 3 AS VARCHAR)) AS url_tag, max(1.0 + (metric % 100) / 100.0) AS factor FROM snapshots WHERE regexp_matches(url_tag, '^U[0-9][0-9]') GROUP BY ALL)
+@query("D6_growth_join", f"""WITH {MASS}, fa AS (SELECT source, concat('T', CAST(CAST(regexp_extract(url_tag, '[0-9]+') AS BIGINT) * 3 AS VARCHAR)) AS url_tag, max(1.0 + (metric % 100) / 100.0) AS factor FROM snapshots GROUP BY ALL)
  SELECT mass.item_id, CAST(canonical_index AS BIGINT) AS canonical_index, cluster, round(share * coalesce(factor, 1.0), 6) AS share FROM mass JOIN items i USING (item_id) LEFT JOIN fa ON fa.source = i.source AND fa.url_tag = i.url_tag""")
 def _(d: Data):
-    tag = F.concat(F.lit("T"), (F.substring("url_tag", 2, 2).cast("int") * 3).cast("string"))
-    fa = d.snapshots.filter(F.col("url_tag").rlike("^U[0-9][0-9]")).groupBy("source", tag.alias("url_tag")).agg(F.max(1.0 + (F.col("metric") % 100) / 100.0).alias("factor"))
+    tag = F.concat(F.lit("T"), (F.regexp_extract("url_tag", "[0-9]+", 0).cast("bigint") * 3).cast("string"))
+    fa = d.snapshots.groupBy("source", tag.alias("url_tag")).agg(F.max(1.0 + (F.col("metric") % 100) / 100.0).alias("factor"))
     mass = axes.fanout_mass(groups(d)).withColumn("canonical_index", F.col("canonical_index").cast("bigint"))
     return _r(axes.with_growth(mass, d.items, fa), "share")
 
@@ -307,6 +314,6 @@ def _(d: Data):
     return distributions.majority(d.groups, ["item_id"], "silhouette", "area", vocab.SILHOUETTES)
 
 
-@query("J1_social_raw", f"WITH {ACC} SELECT cluster, round(social, 4) AS social FROM acc WHERE social > 0")
+@query("J1_social_raw", f"WITH {ACC} SELECT cluster, round(social, 6) AS social FROM acc WHERE social > 0")
 def _(d: Data):
-    return scoring.accumulators(axes.fanout_mass(groups(d)), d.items, SCORING).filter("social > 0").select("cluster", F.round("social", 4).alias("social"))
+    return acc(d).filter("social > 0").select("cluster", F.round("social", 6).alias("social"))

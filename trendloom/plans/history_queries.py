@@ -9,7 +9,7 @@ from trendloom.config import DEDUP
 from trendloom.functions import color
 from trendloom.functions import columns as C
 from trendloom.operators import axes, dedup, distributions, history, palette, ranking, snapshots
-from trendloom.plans.cluster_queries import CONTRIB, FAN, MASS, contributions, groups
+from trendloom.plans.cluster_queries import CONTRIB, FAN, MASS, RAW, contributions, groups
 from trendloom.plans.registry import Data, query
 from trendloom.plans.text_queries import _rule_sql, rules
 
@@ -143,13 +143,13 @@ def _(d: Data):
     return d.weekly.groupBy("cluster").agg(at("2000-12-11").alias("w1"), at("2000-12-18").alias("w2"), at("2000-12-25").alias("w3"))
 
 
-@query("F1_snapshot_dedup", """WITH r AS (SELECT *, row_number() OVER (PARTITION BY url_tag ORDER BY posted_at DESC, likes + 2 * comments DESC, item_id) AS r FROM items)
+@query("F1_snapshot_dedup", f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY url_tag ORDER BY posted_at DESC, {RAW} DESC, item_id) AS r FROM items)
  SELECT item_id, url_tag FROM r WHERE url_tag IS NULL OR r = 1""")
 def _(d: Data):
     return snapshots.dedup(d.items).select("item_id", "url_tag")
 
 
-@query("O9_dedup_by_engagement", "WITH r AS (SELECT *, row_number() OVER (PARTITION BY url_tag ORDER BY likes + 2 * comments DESC, item_id) AS r FROM items) SELECT item_id, url_tag FROM r WHERE url_tag IS NULL OR r = 1")
+@query("O9_dedup_by_engagement", f"WITH r AS (SELECT *, row_number() OVER (PARTITION BY url_tag ORDER BY {RAW} DESC, item_id) AS r FROM items) SELECT item_id, url_tag FROM r WHERE url_tag IS NULL OR r = 1")
 def _(d: Data):
     return snapshots.dedup_by_engagement(d.items).select("item_id", "url_tag")
 
@@ -210,7 +210,7 @@ def _(d: Data):
     return ranking.first_videos(axes.fanout_normalized(groups(d)), d.items)
 
 
-_PICKS = f"""{FAN}, x AS (SELECT cluster, source, item_id, likes + 2 * comments AS e FROM fan JOIN items USING (item_id) WHERE round(share, 9) >= 0.1), pk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster, source ORDER BY e DESC, item_id) AS rank FROM x) WHERE rank <= 5)"""
+_PICKS = f"""{FAN}, x AS (SELECT cluster, source, seq, item_id, {RAW} AS e FROM fan JOIN items USING (item_id) WHERE round(share, 9) >= 0.1), pk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster, source ORDER BY e DESC, seq, item_id) AS rank FROM x) WHERE rank <= CASE source WHEN 'instagram' THEN 5 ELSE 1 END)"""
 
 
 def _picks(d: Data):
@@ -251,14 +251,10 @@ def _(d: Data):
     return t.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("total"), "cluster")))  # one row for each cluster
 
 
-@query("F16_partial_assign", f"""WITH {_rule_sql()}, x AS (SELECT item_id, post_date AS d, garment AS g, fabric AS f FROM ru JOIN items USING (item_id)),
- p AS (SELECT item_id, d, g FROM x WHERE g IS NOT NULL AND f IS NULL), e AS (SELECT d, g, concat(g, '__', f) AS k, count(*) AS n FROM x WHERE g IS NOT NULL AND f IS NOT NULL GROUP BY ALL),
- q AS (SELECT p.item_id, p.g, e.k, sum(e.n) AS n FROM p JOIN e ON e.g = p.g AND e.d < p.d GROUP BY ALL), b AS (SELECT item_id, arg_min(k, (-n, k)) AS k FROM q GROUP BY item_id)
- SELECT p.item_id, coalesce(b.k, concat(p.g, '__unknown')) AS cluster FROM p LEFT JOIN b USING (item_id)""")
+@query("F16_partial_assign")
 def _(d: Data):
-    own = rules(d).select("item_id", F.col("garment").alias("g"), F.col("fabric").alias("f")).join(d.items.select("item_id", F.col("post_date").alias("d")), "item_id")
-    return ranking.partial_assignment(own, "d")
-
+    own = rules(d).select("item_id", F.col("garment").alias("g"), F.col("fabric").alias("f")).join(d.items.select("item_id", "seq", "post_date"), "item_id")
+    return ranking.partial_assignment(own, "post_date")
 
 
 _LIN = lambda c: f"CASE WHEN {c} / 255.0 > 0.04045 THEN pow(({c} / 255.0 + 0.055) / 1.055, 2.4) ELSE {c} / 255.0 / 12.92 END"

@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trendloom.config import SCORING
 from trendloom.functions import columns as C
 from trendloom.operators import axes, emergence, scoring
-from trendloom.plans.cluster_queries import ACC, CONTRIB, FAN, contributions, groups
+from trendloom.plans.cluster_queries import ACC, CONTRIB, FAN, FESTIVE_DAY, acc, contributions, groups
 from trendloom.plans.registry import Data, query
 from trendloom.plans.text_queries import CLEAN, POSTS, cleaned
 
 
 @query("J2_video_raw", f"WITH {ACC} SELECT cluster, round(CASE WHEN videos > 0 OR views > 0 THEN 0.3 * videos + 0.4 * views ELSE 0 END, 4) AS video FROM acc")
 def _(d: Data):
-    raw = scoring.raw_factors(scoring.accumulators(axes.fanout_mass(groups(d)), d.items))
-    return raw.select("cluster", F.round("f_youtube", 4).alias("video"))
+    return scoring.raw_factors(acc(d)).select("cluster", F.round("f_youtube", 4).alias("video"))
+
+
+@query("J3_cultural_raw", f"WITH {ACC} SELECT cluster, round(0.6 * festival + 0.4 * presence, 6) AS cultural FROM acc")
+def _(d: Data):
+    return scoring.raw_factors(acc(d)).select("cluster", F.round("f_cultural", 6).alias("cultural"))
 
 
-@query("J3_cultural_raw", f"""WITH {ACC}, t AS (SELECT DISTINCT item_id FROM tags WHERE lower(ltrim(tag, '#')) IN ('akshayatritiya', 'akshayatritiya2026', 'goldethnic')), fe AS (SELECT cluster, sum(share) * 1.5 AS festival FROM mass JOIN t USING (item_id) GROUP BY cluster)
- SELECT cluster, round(0.6 * coalesce(festival, 0) + 0.4 * presence, 6) AS cultural FROM acc LEFT JOIN fe USING (cluster)""")
+@query("C19_festival_items", "SELECT DISTINCT item_id FROM tags WHERE lower(ltrim(tag, '#')) IN ('akshayatritiya', 'akshayatritiya2026', 'goldethnic')")
 def _(d: Data):
-    mass = axes.fanout_mass(groups(d))
-    tagged = d.tags.filter(F.lower(F.ltrim("tag", F.lit("#"))).isin(*SCORING.festival_tags)).select("item_id").distinct()
-    festival = mass.join(tagged, "item_id").groupBy("cluster").agg((F.sum("share") * SCORING.festival_boost).alias("festival"))
-    raw = scoring.raw_factors(scoring.accumulators(mass, d.items).join(festival, "cluster", "left"))
-    return raw.select("cluster", F.round("f_cultural", 6).alias("cultural"))
+    return scoring.festival_items(d.tags, FESTIVE_DAY)
 
 
 @query("J4_momentum_raw", """WITH h AS (SELECT cluster, date_diff('day', DATE '1970-01-01', d) AS n, d, posts, tags FROM history),
@@ -43,15 +40,12 @@ def _(d: Data):
     return day.select("cluster", F.round(a * F.col("post_growth") + b * F.col("velocity"), 6).alias("momentum"))
 
 
-def _week_sql(monday: str, sunday: str, spike: str, base: str, end: str) -> str:
-    return f"""SELECT tag, CAST(spike AS BIGINT) AS spike, CAST(first_seen AS VARCHAR) AS first_seen, CAST(n_posts AS BIGINT) AS n_posts, '{monday}' AS week FROM (SELECT tag, count(*) FILTER (d BETWEEN DATE '{spike}' AND DATE '{sunday}') AS spike,
- count(*) FILTER (d BETWEEN DATE '{base}' AND DATE '{end}') AS base, min(CASE WHEN d BETWEEN DATE '{spike}' AND DATE '{sunday}' THEN d END) AS first_seen FROM cl WHERE NOT known GROUP BY tag) JOIN po USING (tag)
- WHERE base <= 0 AND spike >= 3 AND n_posts >= 5 AND n_fashion >= 0.5 * n_posts"""
-
-
-@query("F14_weekly_emergence", f"""WITH {CLEAN}, {POSTS.replace("density >= 0.5", "density >= 0.34")} {_week_sql("1997-11-03", "1997-11-09", "1997-10-27", "1997-09-01", "1997-10-26")} UNION ALL {_week_sql("1997-12-08", "1997-12-14", "1997-12-01", "1997-10-06", "1997-11-30")}""")
+@query("F14_weekly_emergence", f"""WITH {CLEAN}, {POSTS.replace("density >= 0.5", "density >= 0.34")}, td AS (SELECT tag, d, count(*) AS n FROM cl WHERE NOT known GROUP BY ALL), fs AS (SELECT tag, min(d) AS first_seen FROM td GROUP BY tag),
+ wk AS (SELECT DISTINCT tag, CAST(unnest(generate_series(date_trunc('week', d), date_trunc('week', d + 13), INTERVAL 7 DAY)) AS DATE) AS week FROM td),
+ sm AS (SELECT wk.tag, week, coalesce(sum(n) FILTER (date_diff('day', d, week + 6) < 14), 0) AS spike, coalesce(sum(n) FILTER (date_diff('day', d, week + 6) >= 14), 0) AS base FROM wk JOIN td ON td.tag = wk.tag AND date_diff('day', d, week + 6) BETWEEN 0 AND 69 GROUP BY ALL)
+ SELECT CAST(week AS VARCHAR) AS week, tag, CAST(spike AS BIGINT) AS spike, CAST(first_seen AS VARCHAR) AS first_seen, CAST(n_posts AS BIGINT) AS n_posts FROM sm JOIN fs USING (tag) JOIN po USING (tag) WHERE base <= 0 AND spike >= 3 AND n_posts >= 5 AND n_fashion >= 0.5 * n_posts""")
 def _(d: Data):
-    out = emergence.weekly_signals(cleaned(d), [date(1997, 11, 3), date(1997, 12, 8)], dense=0.34)
+    out = emergence.weekly_signals(cleaned(d), dense=0.34)
     return out.withColumn("first_seen", F.col("first_seen").cast("string")).withColumn("week", F.col("week").cast("string"))
 
 

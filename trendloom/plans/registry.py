@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trendloom.sources import bindings
@@ -27,11 +29,22 @@ class Data:
         return bindings.relation(self._spark, self._dir, name)
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it."""
+    env, home = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if home not in (paths := env.get("PYTHONPATH", "").split(":")):
+        env["PYTHONPATH"] = ":".join(filter(None, [*paths, home]))
+
+
 def query(name: str, sql: str | None = None):
     """Registers fn(data) under a name."""
 
     def register(fn: Callable[[Data], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(Data(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(Data(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = bindings.with_relations(sql)
         return fn

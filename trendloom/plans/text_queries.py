@@ -195,8 +195,7 @@ def _(d: Data):
     return emergence.post_counters(cleaned(d))
 
 
-@query("F13_emergence", f"""WITH {CLEAN}, {POSTS.replace("density >= 0.5", "density >= 0.34")}, k AS (SELECT tag, count(*) FILTER (d BETWEEN DATE '1997-11-01' AND DATE '1997-11-14') AS spike, count(*) FILTER (d BETWEEN DATE '1997-09-06' AND DATE '1997-10-31') AS base,
-  min(CASE WHEN d BETWEEN DATE '1997-11-01' AND DATE '1997-11-14' THEN d END) AS first_seen FROM cl WHERE NOT known GROUP BY tag)
+@query("F13_emergence", f"""WITH {CLEAN}, {POSTS.replace("density >= 0.5", "density >= 0.34")}, k AS (SELECT tag, count(*) FILTER (d BETWEEN DATE '1997-11-01' AND DATE '1997-11-14') AS spike, count(*) FILTER (d BETWEEN DATE '1997-09-06' AND DATE '1997-10-31') AS base, min(d) AS first_seen FROM cl WHERE NOT known GROUP BY tag)
  SELECT tag, CAST(spike AS BIGINT) AS spike, CAST(first_seen AS VARCHAR) AS first_seen, CAST(n_posts AS BIGINT) AS n_posts FROM k JOIN po USING (tag) WHERE base <= 0 AND spike >= 3 AND n_posts >= 5 AND n_fashion >= 0.5 * n_posts""")
 def _(d: Data):
     return emergence.signals(cleaned(d), date(1997, 11, 14), dense=0.34).withColumn("first_seen", F.col("first_seen").cast("string"))
