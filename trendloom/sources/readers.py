@@ -87,6 +87,56 @@ def tsv_videos(spark: SparkSession, path: str) -> DataFrame:
     return out.filter(F.col("video_id").isNotNull() & F.col("view_count").isNotNull() & F.col("like_count").isNotNull() & F.col("comment_count").isNotNull() & F.col("published_at").isNotNull())
 
 
+def tsv_batch(spark: SparkSession, posting: str, profile: str, hashtag: str, video: str, placeholder_date: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(posts of both kinds, videos) of one folder of tab-separated files."""
+    posts = tsv_posts(spark, posting, profile)
+    return posts.unionByName(tsv_hashtag_posts(spark, hashtag, placeholder_date).select(*posts.columns)), tsv_videos(spark, video)
+
+
+def _utc(c: str) -> Column:
+    return F.to_utc_timestamp(F.col(c).cast("timestamp"), "UTC")
+
+
+def _urls(videos: bool) -> Column:
+    kept = _csv(F.regexp_replace(F.col("download_urls"), r"\s*,\s*", ","))
+    return F.filter(kept, lambda u: C.is_video_url(u) if videos else ~C.is_video_url(u))
+
+
+def olap_posts(table: DataFrame) -> DataFrame:
+    """Rows of the post table as raw posts: media split by extension, tags from the text; rows without created_at go."""
+    n = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0))
+    return table.filter(F.col("created_at").isNotNull() & F.col("posting_at").isNotNull()).select(
+        F.col("id").alias("post_id"), source_type(F.coalesce(F.nullif("entry", F.lit("")), F.lit("profile")), F.coalesce("user", F.lit(""))).alias("source_type"), F.nullif("url", F.lit("")).alias("post_url"), F.nullif("user", F.lit("")).alias("account_handle"),
+        n("follower_count").alias("account_followers"), _urls(False).alias("image_urls"), _urls(True).alias("video_urls"), F.coalesce("content", F.lit("")).alias("caption_text"), hashtags(F.col("content")).alias("hashtags"), n("like_count").alias("likes"), n("comment_count").alias("comments_count"),
+        F.lit(None).cast("bigint").alias("saves"), F.col("posting_at").cast("timestamp").alias("post_date"), _utc("created_at").alias("collected_at"),
+    )
+
+
+def olap_videos(table: DataFrame) -> DataFrame:
+    """Rows of the video table as raw videos: id from the url, video media only; rows without an id or a date go."""
+    n = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0))
+    trimmed = lambda c, sep: F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("")), sep), F.trim), lambda x: x != "")
+    out = table.select(
+        C.short_tag(F.col("url")).alias("video_id"), F.col("url").alias("video_url"), F.coalesce("channel", F.lit("")).alias("channel"), n("channel_follower_count").alias("channel_follower_count"), F.coalesce("title", F.lit("")).alias("title"),
+        F.coalesce("description", F.lit("")).alias("description"), trimmed("tags", ",").alias("tags"), F.coalesce("thumbnail_url", F.lit("")).alias("thumbnail_url"), n("view_count").alias("view_count"), n("like_count").alias("like_count"), n("comment_count").alias("comment_count"),
+        trimmed("comments", r"\|").alias("top_comments"), F.try_to_timestamp(F.col("upload_date").cast("string"), F.lit("yyyyMMdd")).alias("published_at"), _utc("created_at").alias("collected_at"), _urls(True).alias("video_urls"),
+    )
+    return out.filter(F.col("video_id").isNotNull() & F.col("published_at").isNotNull() & F.col("collected_at").isNotNull())
+
+
+def with_urls(items: DataFrame, urls: DataFrame) -> DataFrame:
+    """Stored items with the external id of their post's url, where the table urls(source_post_id, url) has it."""
+    known = urls.groupBy("source_post_id").agg(F.max("url").alias("_url"))
+    return items.join(known, "source_post_id", "left").withColumn("url_short_tag", F.coalesce("url_short_tag", C.short_tag(F.col("_url")))).select(*items.columns)
+
+
+def renormalized(items: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored items with the normalised columns of fresh(source_post_id, ...) where it has them; all else stays."""
+    new = [c for c in fresh.columns if c != "source_post_id"]
+    j = items.join(fresh.select("source_post_id", F.struct(*new).alias("_n")), "source_post_id", "left")
+    return j.select(*[F.when(F.col("_n").isNotNull(), F.col(f"_n.{c}")).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in items.columns])
+
+
 def normalize_posts(posts: DataFrame) -> DataFrame:
     """Posts as items: text and tags together, growth by likes, a haul tag makes a tracked post a haul."""
     from trendloom import vocab
@@ -114,10 +164,15 @@ def normalize_batch(posts: DataFrame, videos: DataFrame) -> DataFrame:
     return normalize_posts(posts).unionByName(normalize_videos(videos), allowMissingColumns=True)
 
 
-def read_enriched(spark: SparkSession, glob: str, schema: str) -> DataFrame:
-    """Files of stored items; of equal ids the last file's record stays, unreadable records go."""
+def read_enriched(spark: SparkSession, glob: str, schema: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """Files of stored items; of equal ids the last file's record stays, unreadable records go.
+
+    days (first, last) is compared with the first ten characters of post_date, before records meet by id.
+    """
     raw = spark.read.schema(f"{schema}, _corrupt STRING").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(glob)
     own = raw.select("*", F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_seq")).filter(F.col("_corrupt").isNull())
+    if days:
+        own = own.filter(F.substring(F.col("post_date").cast("string"), 1, 10).between(*days))
     order = Window.partitionBy("source_post_id").orderBy(F.desc("_file"), F.desc("_seq"))
     return own.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r", "_file", "_seq", "_corrupt")
 
