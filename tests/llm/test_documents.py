@@ -90,6 +90,91 @@ def test_language(docs, rows, empty):
     assert langid.identify(empty).count() == 0
 
 
+def _grams_of(text, p):
+    """(n-grams that hold a letter) of a text, character by character."""
+    import unicodedata
+
+    low = []
+    for c in text:
+        if unicodedata.category(c)[0] != "L":
+            low.append(" ")
+        else:
+            low.append(c.lower() if len(c.lower()) == 1 else c)
+    t = re.sub(" +", " ", " " + "".join(low) + " ")
+    return Counter(t[i : i + n] for n in p.orders for i in range(len(t) - n + 1) if t[i : i + n].strip())
+
+
+def test_language_against_brute_force(spark):
+    """Counts, posteriors and predictions by the textbook formula, n-grams told apart instead of hashed."""
+    import numpy as np
+
+    rng, p = random.Random(11), langid.LangIdParams(step_chars=64, block_langs=2)
+    langs = ["de", "en", "fr", "l4", "l5"]
+    vocab = {k: (WORDS.get(k) or "").split() or [f"{k[1]}{c}q" for c in "abcdefgh"] for k in langs}
+    text = lambda k, n: " ".join(rng.choice(vocab[k]) + rng.choice(["", "!", "12", "É"]) for _ in range(n))
+    train = [(i, text(k, rng.randint(1, 30)), k) for i, k in ((i, rng.choice(langs)) for i in range(80))]
+    asked = [text(rng.choice(langs), rng.randint(1, 40)) for _ in range(40)] + ["", "12 !", None, "a" * 1_000, "ab " * 300]
+    docs = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    known, logp = langid.fit(docs, F.lit(True), p)
+    assert known == sorted({k for _, _, k in train})
+    blocks = [np.ascontiguousarray(logp[i : i + p.block_langs].T) for i in range(0, len(known), p.block_langs)]
+    pred, score = langid.predict_texts(asked, known, blocks, p)
+    sums = {k: Counter() for k in known}
+    for _, t, k in train:
+        sums[k] += _grams_of(t, p)
+    n_docs = Counter(k for _, _, k in train)
+    for t, got, s in zip(asked, pred, score, strict=True):
+        if not re.search(r"[^\W\d_]", t or ""):
+            assert (got, s) == ("und", 0.0)
+            continue
+        z = {}
+        for k in known:
+            total = sum(sums[k].values()) + p.alpha * p.n_buckets
+            z[k] = np.log(n_docs[k] / len(train)) + sum(c * np.log((sums[k][g] + p.alpha) / total) for g, c in _grams_of(t, p).items())
+        top = max(z.values())
+        post = {k: float(np.exp(v - top)) for k, v in z.items()}
+        want = post[got] / sum(post.values())
+        assert z[got] > top - 0.5 and abs(s - want) < 0.05, (t, got, s, want)  # two n-grams of few thousand may share a bucket
+
+
+def test_language_steps_do_not_change_counts():
+    rng = random.Random(2)
+    text = "".join(rng.choice("ab é1.ß 語") for _ in range(3_000))
+    whole = langid.gram_counts([text], langid.LangIdParams())
+    assert (whole == langid.gram_counts([text], langid.LangIdParams(step_chars=7))).all() and whole.sum() == sum(_grams_of(text, langid.LangIdParams()).values())
+
+
+CLASHING = ["row", "lang_pred", "score", "terms", "version", "domain", "language", "src", "copies", "full", "parts", "alloc", "key", "band", "component_id", "kept", "a", "b", "c", "d", "v", "n"]
+
+
+def test_clashing_columns_are_kept(docs):
+    """Columns named like those used inside go through every stage that returns documents, with their values."""
+    import corpus_pipeline as c
+
+    own = docs.drop("kept", "score").filter("doc_id IS NOT NULL").select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in CLASHING])
+    for name, stage in c.STAGES[:-1]:
+        out = stage(own.sparkSession, own, "")
+        assert out.columns == own.columns, name
+        rows = out.select("doc_id", *CLASHING).collect()
+        assert rows and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in CLASHING), name
+    assert c.STAGES[-1][1](own.sparkSession, own, "").count() > 0
+    for query in (quality.quality, langid.identify, neardup.near_duplicates, pii.find, suffixdedup.repeats, mixing.mixture):
+        assert query(own).count() > 0
+    assert toxicity.toxicity(own, own.select("doc_id", F.lit(1).alias("toxic"), "score")).count() == own.count()
+
+
+def test_pipeline_of_no_documents(empty):
+    import corpus_pipeline as c
+
+    for _, stage in c.STAGES:
+        assert stage(empty.sparkSession, empty, "").count() == 0
+
+
+def test_other_word_lists(docs):
+    few = quality.QualityParams(common_words={"en": ["the", "of", "and"], "de": ["der"]}, min_common_words=5)
+    assert quality.quality(docs, few).count() == docs.count()
+
+
 def shingles(text):
     w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     w = words_of(w)
@@ -208,6 +293,128 @@ def test_terms_of_one_document(spark, params):
     assert clean[0] == "please ask  via [EMAIL] today" and clean[1] == "today  ([EMAIL]) we met" and clean[2] == "call [Name] on [PHONE] today" and clean[3] is None
 
 
+def _plain_spans(text):
+    """Base spans by the contract's own patterns."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+
+    def ok(kind, m):
+        digits = re.sub("[^0-9]", "", m)
+        if kind == "ip":
+            return all(int(x) <= 255 for x in m.split("."))
+        if kind == "card":
+            total = sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(digits)))
+            return 16 <= len(digits) <= 19 and total % 10 == 0
+        return kind == "email" or 8 <= len(digits) <= 15
+
+    return {k: [m.span() for m in re.finditer(p, text) if ok(k, m[0])] for k, p in patterns.items()}
+
+
+def test_base_patterns_on_random_texts():
+    rng = random.Random(6)
+    pieces = ["1.2.3.4", "10.0.0.256", "001.002.3.4", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 1234-567", "+1", "a@b.c", "a@b", "x.y@z-1.co.uk", " ", ".", "-", "+", "7", "12", "@", "é", "(", ")", "\n", "1" * 20]
+    for _ in range(4_000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))
+        assert pii.base_spans(text) == _plain_spans(text), text
+
+
+def test_disclosure_against_brute_force(spark):
+    """Terms and their disclosure by counting every pair over every document."""
+    import math
+
+    rng, p = random.Random(12), pii.PiiParams(near=3)
+    names, fill = ["Zorba", "Quill", "Mira", "Tove"], ["ask", "today", "about", "the", "parcel", "please", "again", "river"]
+    rows = []
+    for i in range(400):
+        words = [rng.choice(fill) for _ in range(rng.randint(3, 12))]
+        if rng.random() < 0.15:
+            k = rng.randrange(len(names))
+            words[1:1] = [names[k] if rng.random() < 0.8 else "someone", f"p{k}@mail.org" if rng.random() < 0.95 else f"+49 30 {k}123456"]
+        rows.append((i, " ".join(words)))
+    rows += [rows[7], (None, rows[3][1]), (401, None), (402, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    near, having, texts = {}, {}, {r: (r[1] or "") for r in set(rows)}
+    for r, text in texts.items():
+        words = [(m[0].lower(), *m.span()) for m in re.finditer(r"[^\W\d_]{3,}", text)]
+        for kind, spans in _plain_spans(text).items():
+            for a, b in spans:
+                value = text[a:b].lower() if kind == "email" else re.sub("[^0-9]+", "." if kind == "ip" else "", text[a:b])
+                having.setdefault((kind, value), set()).add(r)
+                for w in {w for w, _, e in [x for x in words if x[2] <= a][-p.near :]} | {w for w, s, _ in [x for x in words if x[1] >= b][: p.near]}:
+                    near.setdefault((w, kind, value), set()).add(r)
+    n = len(rows)  # documents of the table; repeated rows are one in the other counts
+    seen = Counter(w for _, text in rows for w in {w.lower() for w in re.findall(r"[^\W\d_]{3,}", text or "")})
+    want = {}
+    for (w, kind, value), with_it in near.items():
+        n_te, n_e = len(with_it), len(having[kind, value])
+        d = math.log(n_te * n / ((max(seen[w], n_te) + 0.5) * n_e)) / math.log(n / n_e)
+        if d >= p.generalise_at:
+            want[w] = max(want.get(w, 0), d)
+    got = {r.term: (r.action, r.disclosure) for r in pii.revealing_terms(pii._prepared(docs), p).collect()}
+    assert want and set(got) == set(want)
+    for w, (action, d) in got.items():
+        assert abs(d - want[w]) < 1e-9 and action == ("remove" if d >= p.remove_at else "generalise")
+
+
+def test_viterbi_against_all_spellings():
+    """The decoder's spelling is the best of all that the channel allows."""
+    import itertools
+
+    import numpy as np
+
+    rng = random.Random(3)
+    counts = np.zeros(toxicity.N_CHARS**3)
+    for word in "stupid idiot loser boot tool lilt sat so is it a pass".split():
+        x = [0, 0, *(toxicity._INDEX[c] for c in word), 0]
+        for a, b, c in zip(x, x[1:], x[2:], strict=False):
+            counts[(a * toxicity.N_CHARS + b) * toxicity.N_CHARS + c] += 5
+    model = toxicity.CharModel(counts)
+
+    def ways(text, i):
+        """(letter or None, cost) of a character."""
+        c, again = text[i], i and text[i] == text[i - 1]
+        letters = [(c, 0.0)] if c in toxicity._INDEX else [(x, toxicity.SIGN_COST) for x in toxicity.SIGNS.get(c, "")]
+        if not letters:
+            return [(None, toxicity.DROP_COST), (" ", 0.0)]
+        out = [(x, cost + (toxicity.KEEP_REPEAT_COST if again else 0.0)) for x, cost in letters]
+        if again:
+            out += [("same:" + x, toxicity.REPEAT_COST) for x, _ in letters]
+        if letters[0][1] and not c.isdigit():
+            out.append((None, toxicity.DROP_SIGN_COST))
+        return out
+
+    def value(choice):
+        score, state, out = 0.0, (0, 0), []
+        for what, cost in choice:
+            if what is None:
+                score -= cost
+            elif what == " ":
+                if not state[1]:
+                    return None
+                score, state = score + float(model.logp[state[0], state[1], 0]), (0, 0)
+                out.append(" ")
+            elif what.startswith("same:"):
+                if not out or out[-1] != what[5:]:
+                    return None
+                score -= cost
+            else:
+                i = toxicity._INDEX[what]
+                score, state = score + float(model.logp[state[0], state[1], i]) - cost, (state[1], i)
+                out.append(what)
+        return score + (float(model.logp[state[0], state[1], 0]) if state[1] else 0.0), "".join(out).strip()
+
+    for _ in range(150):
+        text = "".join(rng.choice("stiopl10!$ .s") for _ in range(rng.randint(1, 6)))
+        best = max(v for v in map(value, itertools.product(*(ways(text, i) for i in range(len(text))))) if v)
+        found = model.decode(text)
+        same = [v for v in map(value, itertools.product(*(ways(text, i) for i in range(len(text))))) if v and v[1] == found]
+        assert same and max(same)[0] > best[0] - 1e-3, (text, found, best)
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 
