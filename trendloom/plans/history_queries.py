@@ -166,11 +166,6 @@ def _(d: Data):
     return history.latest(two, [F.col("cluster")], "week").select("cluster", F.col("week").cast("string").alias("week"), F.round("score", 4).alias("score"))
 
 
-@query("K5_ethnic_latest", f"WITH {MASS}, x AS (SELECT *, rank() OVER (PARTITION BY item_id ORDER BY canonical_index DESC) AS r FROM mass) SELECT item_id, cluster FROM x WHERE r = 1 AND share > 0")
-def _(d: Data):
-    return history.latest(axes.fanout_mass(groups(d)), [F.col("item_id")], "canonical_index").filter("share > 0").select("item_id", "cluster")
-
-
 @query("D1_profile_left_join", "WITH p AS (SELECT handle, max(followers) AS f FROM items WHERE seq % 3 = 0 GROUP BY handle) SELECT item_id, coalesce(p.f, 0) AS followers FROM items LEFT JOIN p USING (handle)")
 def _(d: Data):
     p = d.items.filter("seq % 3 = 0").groupBy("handle").agg(F.max("followers").alias("f"))  # one row for each handle before the join

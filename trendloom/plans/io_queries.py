@@ -236,7 +236,8 @@ def enriched(d: Data) -> DataFrame:
     rep = "upper_word AS upper_garment_type, upper_is_ethnic, CAST(NULL AS STRING) AS lower_garment_type, lower_is_ethnic, dress_as_single, silhouette, fabric_word AS fabric, technique_word AS technique, CAST(NULL AS STRING) AS outer_layer, is_co_ord_set"
     palette = "array(named_struct('hex', upper(hex), 'share', CAST(1.0 AS DOUBLE), 'family', CAST(NULL AS STRING)))"
     member = f"named_struct('image_id', concat('m', CAST(k AS STRING), '.jpg'), 'outfit_index', CAST(k AS INT), 'person_bbox', array(CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(area AS DOUBLE), CAST(1 AS DOUBLE)), 'garment_type', upper_word, 'fabric', fabric_word, 'technique', technique_word, 'silhouette', silhouette, 'palette', {palette})"
-    g = d.groups.selectExpr("item_id", f"named_struct('canonical_index', CAST(canonical_index AS INT), 'representative', struct({rep}), 'members', transform(CASE WHEN n_objects > 0 THEN sequence(0, n_objects - 1) ELSE array() END, k -> {member}), 'palette', {palette}) AS c")
+    some = f"CASE WHEN tax > 0.02 THEN {palette} ELSE array() END"
+    g = d.groups.selectExpr("item_id", f"named_struct('canonical_index', CAST(canonical_index AS INT), 'representative', struct({rep}), 'members', transform(CASE WHEN n_objects > 0 THEN sequence(0, n_objects - 1) ELSE array() END, k -> {member}), 'palette', {some}) AS c")
     by = g.groupBy("item_id").agg(F.sort_array(F.collect_list("c")).alias("canonicals"))  # one item's groups
     return d.items.join(by, "item_id").select(
         "source", F.col("item_id").alias("source_post_id"), F.col("url_tag").alias("url_short_tag"), F.array(F.lit("x/m0.jpg?s=1")).alias("image_urls"), F.array().cast("array<string>").alias("video_urls"), F.col("posted_at").alias("post_date"), (F.col("likes") + 2 * F.col("comments")).alias("engagement_raw_count"),
@@ -265,10 +266,10 @@ def _emitted(d: Data) -> str:
 _SEEN = "(SELECT items.*, CAST(0 AS INT) AS again FROM items UNION ALL SELECT items.*, 1 FROM items WHERE seq % 2 = 0)"
 
 
-@query("B9_emit_items", f"WITH e AS {_SEEN}, r AS (SELECT *, rank() OVER (PARTITION BY source, coalesce(url_tag, item_id) ORDER BY again DESC) AS r FROM e WHERE item_id IN (SELECT item_id FROM groups)) SELECT item_id AS source_post_id, source, CAST(likes + 2 * comments AS BIGINT) AS engagement_raw, CASE WHEN followers = 0 THEN NULL ELSE followers END AS followers, again FROM r WHERE r = 1")
+@query("B9_emit_items", f"WITH e AS {_SEEN}, r AS (SELECT *, rank() OVER (PARTITION BY source, coalesce(url_tag, item_id) ORDER BY again DESC) AS r FROM e WHERE item_id IN (SELECT item_id FROM groups)) SELECT item_id AS source_post_id, source, CAST(likes + 2 * comments AS BIGINT) AS engagement_raw, CASE WHEN followers = 0 THEN -1 ELSE followers END AS followers, again FROM r WHERE r = 1")
 def _(d: Data):
     got = sinks.latest_view(_spark(d), f"{_emitted(d)}/item", "item")
-    return got.select("source_post_id", "source", "engagement_raw", F.col("account_follower_count").alias("followers"), (F.col("computed_at") == _at(_T2)).cast("int").alias("again"))
+    return got.select("source_post_id", "source", "engagement_raw", F.coalesce("account_follower_count", F.lit(-1)).alias("followers"), (F.col("computed_at") == _at(_T2)).cast("int").alias("again"))
 
 
 @query("K2_group_latest", f"""WITH {NORMAL}, e AS {_SEEN}, j AS (SELECT e.item_id, n.canonical_index, again, n.n_objects, rank() OVER (PARTITION BY source, coalesce(url_tag, e.item_id), canonical_index ORDER BY again DESC) AS r, CASE WHEN is_ethnic AND garment IS NOT NULL AND fabric IS NOT NULL THEN concat(garment, '__', fabric) END AS key FROM e JOIN n ON n.item_id = e.item_id)
@@ -278,6 +279,12 @@ def _(d: Data):
     return got.select(F.col("item_source_post_id").alias("item_id"), "canonical_index", (F.col("computed_at") == _at(_T2)).cast("int").alias("again"), "n_objects", F.col("cluster_key").alias("key"))
 
 
+@query("K5_ethnic_latest", f"WITH e AS {_SEEN}, j AS (SELECT e.item_id, canonical_index, again, tax, rank() OVER (PARTITION BY source, coalesce(url_tag, e.item_id), canonical_index ORDER BY again DESC) AS r FROM e JOIN groups ON groups.item_id = e.item_id) SELECT item_id, CAST(canonical_index AS INT) AS canonical_index, again FROM j WHERE r = 1 AND tax > 0.02")
+def _(d: Data):
+    got = sinks.ethnic_view(_spark(d), f"{_emitted(d)}/canonical_group", "canonical_group")
+    return got.select(F.col("item_source_post_id").alias("item_id"), "canonical_index", (F.col("computed_at") == _at(_T2)).cast("int").alias("again"))
+
+
 @query("K3_object_latest", f"""WITH e AS {_SEEN}, m AS (SELECT item_id, canonical_index, area, unnest(range(0, n_objects)) AS k FROM groups), j AS (SELECT e.item_id, canonical_index, k, area, again, rank() OVER (PARTITION BY source, coalesce(url_tag, e.item_id), canonical_index, k ORDER BY again DESC) AS r FROM e JOIN m ON m.item_id = e.item_id)
  SELECT item_id, CAST(canonical_index AS INT) AS canonical_index, CAST(k AS INT) AS member_index, again, round(area, 6) AS area, CASE WHEN k = 0 THEN 'x/m0.jpg?s=1' END AS media_ref FROM j WHERE r = 1""")
 def _(d: Data):
