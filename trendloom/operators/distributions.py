@@ -28,6 +28,13 @@ def share_weighted(rows: DataFrame, by: str, value: str, share: str) -> DataFram
     return agg.select(by, F.col(value).alias("value"), C.ratio(F.col("w"), F.sum("w").over(Window.partitionBy(by))).alias("pct"))
 
 
+def drilldown(mass: DataFrame, parts: list[str]) -> DataFrame:
+    """cluster, part, value, pct: each of the parts' values weighed by share, all parts in one pass."""
+    each = F.explode(F.filter(F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).cast("string").alias("value")) for p in parts]), lambda x: x["value"].isNotNull())).alias("x")
+    agg = mass.select("cluster", "share", each).groupBy("cluster", "x.part", "x.value").agg(F.sum("share").alias("w"))
+    return agg.select("cluster", "part", "value", C.ratio(F.col("w"), F.sum("w").over(Window.partitionBy("cluster", "part"))).alias("pct"))
+
+
 def brand_distribution(fanout: DataFrame, item_brands: DataFrame, least: float = 0.05, k: int = 5) -> DataFrame:
     """cluster, rank, name, pct: brands of an item divide its share, rare brands go, five stay and are normalised again."""
     named = item_brands.select("item_id", "name").distinct()

@@ -191,16 +191,16 @@ def _(d: Data):
     return acc(d).select("cluster", *[F.round(c, n).alias(c) for c, n in (("social", 6), ("videos", 6), ("views", 4), ("posts", 6), ("presence", 6), ("festival", 6), ("rate", 4))])
 
 
-@query("E19_drilldown", f"""WITH {MASS}, v AS (SELECT mass.cluster, n.styling AS value, sum(mass.share) AS w FROM mass JOIN n USING (item_id, canonical_index) WHERE n.styling IS NOT NULL GROUP BY ALL),
- t AS (SELECT cluster, arg_max(value, (round(w, 9), value)) AS top_styling FROM v GROUP BY cluster)
- SELECT m.cluster, CAST(count(*) AS BIGINT) AS entries, CAST(count(DISTINCT m.item_id) AS BIGINT) AS items, round(sum(m.share), 6) AS mass, t.top_styling FROM mass m LEFT JOIN t USING (cluster) GROUP BY m.cluster, t.top_styling""")
+_PARTS = ["garment", "fabric", "technique", "silhouette", "styling"]
+_PART_SQL = " UNION ALL ".join(f"SELECT mass.cluster, '{c}' AS part, n.{c} AS value, mass.share FROM mass JOIN n USING (item_id, canonical_index) WHERE n.{c} IS NOT NULL" for c in _PARTS)
+
+
+@query("E19_drilldown", f"""WITH {MASS}, v AS ({_PART_SQL} UNION ALL SELECT mass.cluster, 'source', source, mass.share FROM mass JOIN items USING (item_id) UNION ALL SELECT mass.cluster, 'source_type', source_type, mass.share FROM mass JOIN items USING (item_id) WHERE source_type IS NOT NULL),
+ w AS (SELECT cluster, part, value, sum(share) AS w FROM v GROUP BY ALL) SELECT cluster, part, value, round(CASE WHEN sum(w) OVER (PARTITION BY cluster, part) > 0 THEN w / sum(w) OVER (PARTITION BY cluster, part) ELSE 0 END, 6) AS pct FROM w""")
 def _(d: Data):
-    g = groups(d)
-    mass = axes.fanout_mass(g)
-    votes = mass.join(g.select("item_id", "canonical_index", "styling"), ["item_id", "canonical_index"]).filter(F.col("styling").isNotNull()).groupBy("cluster", "styling").agg(F.sum("share").alias("w"))
-    top = votes.groupBy("cluster").agg(F.max_by("styling", F.struct(F.round("w", 9), "styling")).alias("top_styling"))
-    agg = mass.groupBy("cluster").agg(F.count("*").alias("entries"), F.countDistinct("item_id").alias("items"), F.round(F.sum("share"), 6).alias("mass"))
-    return agg.join(top, "cluster", "left")
+    own = groups(d)
+    mass = axes.fanout_mass(own).join(own.select("item_id", "canonical_index", *_PARTS), ["item_id", "canonical_index"]).join(d.items.select("item_id", "source", "source_type"), "item_id")
+    return _r(distributions.drilldown(mass, [*_PARTS, "source", "source_type"]), "pct")
 
 
 @query("D16_fanout_cross", f"""WITH {NORMAL}, m AS (SELECT *, log2(sum(n_objects) OVER (PARTITION BY item_id) + 1.0) AS g, sum(weight) OVER (PARTITION BY item_id) AS t FROM n WHERE is_ethnic),

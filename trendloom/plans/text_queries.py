@@ -93,9 +93,13 @@ def _(d: Data):
     return d.groups.groupBy("item_id").agg(F.bool_or(upper | lower).alias("traditional"))
 
 
-@query("C24_media_ref", "SELECT page_id, reverse(split_part(reverse(split_part(concat(url, '/img_f', CAST(page_id % 7 AS STRING), '.jpg?z=1'), '?', 1)), '/', 1)) AS base FROM pages")
+@query("C24_media_ref", "SELECT item_id, CASE seq % 4 WHEN 0 THEN 'x/a.jpg?s=1' WHEN 1 THEN 'y/clip.mp4' WHEN 2 THEN 'y/Other.MOV?t=2' END AS media_ref FROM items")
 def _(d: Data):
-    return d.table("pages").select("page_id", C.basename(F.expr("concat(url, '/img_f', CAST(page_id % 7 AS STRING), '.jpg?z=1')")).alias("base"))
+    from trendloom.operators import rows
+
+    images, videos = F.array(F.lit("x/b.jpg"), F.lit("x/a.jpg?s=1")), F.array(F.lit("y/clip.mp4"), F.lit("y/Other.MOV?t=2"))
+    image_id = F.expr("CASE seq % 4 WHEN 0 THEN 'a.jpg' WHEN 1 THEN 'clip_f12' WHEN 2 THEN 'Other_f3.jpg' ELSE 'none_f1' END")
+    return d.items.select("item_id", rows.media_ref(image_id, images, videos).alias("media_ref"))
 
 
 @query("C25_frame_index", "SELECT page_id, TRY_CAST(nullif(regexp_extract(CASE WHEN page_id % 3 = 0 THEN concat('v_f', CAST(page_id AS STRING), '.jpg') ELSE concat('v', CAST(page_id AS STRING)) END, '_f([0-9]+)(\\.[a-z]+)?$', 1), '') AS INT) AS frame FROM pages")
