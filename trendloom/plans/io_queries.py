@@ -297,11 +297,11 @@ _DISTS = {"garment_type_distribution": "garment", "fabric_distribution": "fabric
 
 def _representatives(d: Data, computed_at: str) -> DataFrame:
     from trendloom.plans import weekly
-    from trendloom.plans.weekly_queries import _arguments, own_groups
+    from trendloom.plans.weekly_queries import _arguments
 
     own = groups(d)
     fan, contrib = axes.fanout_normalized(own), contributions(d).withColumn("contribution", F.round("contribution", 9))
-    decided, _ = weekly.score_batch(own=own_groups(d)[1], **_arguments(d))
+    decided, _ = weekly.score_batch(**_arguments(d))
     shares = fan.withColumnRenamed("share", "w")
     dists = {name: distributions.share_weighted(own.select("item_id", F.col(c).alias("value")).join(shares, "item_id"), "cluster", "value", "w") for name, c in _DISTS.items()}
     effective = axes.effective_items(contrib)

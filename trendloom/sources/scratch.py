@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, tag: str) -> str:
@@ -15,3 +15,10 @@ def folder(spark: SparkSession, tag: str) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/trendloom/{uuid.uuid4().hex}/{tag}"
+
+
+def kept(df: DataFrame, tag: str) -> DataFrame:
+    """df written once and read again, for what several parts of a job start from."""
+    path = folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
