@@ -64,3 +64,8 @@ MULT_BOTH, MULT_ONE = 2.5, 1.0
 TEXT_WEIGHTS = {"rule": 6.0, "llm": 3.0}
 EVIDENCE_TOP_K = 4
 UNKNOWN = "unknown"
+
+
+def target_date(asked: str | None, configured: str | None, today: date) -> date:
+    """The day of a run: what was asked for, else what is configured, else today."""
+    return date.fromisoformat(asked) if asked else date.fromisoformat(configured) if configured else today

@@ -92,3 +92,15 @@ def cross_fanout(item_dist_g: DataFrame, item_dist_f: DataFrame) -> DataFrame:
     one = F.when(F.col("g").isNull() | F.col("f").isNull(), 0.5).otherwise(1.0)
     share = F.coalesce("pg", F.lit(1.0)) * F.coalesce("pf", F.lit(1.0)) * one
     return both.select("item_id", C.cluster_key(F.col("g"), F.col("f")).alias("cluster"), share.alias("share"))
+
+
+def stored_shares(items: DataFrame, fallback: DataFrame) -> DataFrame:
+    """item_id, cluster, share of items(item_id, shares map): the stored shares, and where there are none those of fallback."""
+    has = F.coalesce(F.size("shares"), F.lit(0)) > 0
+    stored = items.filter(has).select("item_id", F.explode("shares").alias("cluster", "share"))
+    return stored.unionByName(fallback.join(items.filter(~has).select("item_id"), "item_id", "left_semi").select("item_id", "cluster", "share"))
+
+
+def reassigned(stored: DataFrame, seen: DataFrame) -> DataFrame:
+    """item_id, cluster, share: what vision says of an item's clusters where it says anything, else what was stored."""
+    return seen.select("item_id", "cluster", "share").unionByName(stored.join(seen.select("item_id").distinct(), "item_id", "left_anti").select("item_id", "cluster", "share"))

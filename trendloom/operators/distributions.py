@@ -61,3 +61,9 @@ def majority(rows: DataFrame, group: list[str], value: str, area: str, order: li
     agg = rows.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"), F.round(F.avg(area), 9).alias("a"))
     best = Window.partitionBy(*group).orderBy(F.desc("n"), F.desc("a"), place, value)
     return agg.withColumn("r", F.row_number().over(best)).filter("r = 1").select(*group, F.col(value).alias("value"), "n")
+
+
+def with_rest(dists: DataFrame, by: str, name: str = "etc") -> DataFrame:
+    """by, value, pct with a row for what the shares of a group lack to 1."""
+    rest = dists.groupBy(by).agg((1 - F.sum("pct")).alias("pct")).filter("pct > 1e-9").select(by, F.lit(name).alias("value"), "pct")
+    return dists.select(by, "value", "pct").unionByName(rest)

@@ -30,9 +30,21 @@ def density(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("item_id", "tag", "known").distinct().groupBy("item_id").agg(F.avg(F.col("known").cast("double")).alias("density"))
 
 
+def with_vision(cleaned: DataFrame, words: DataFrame, items: DataFrame) -> DataFrame:
+    """cleaned with the vision words(item_id, tag) that an item's hashtags lack, once each, and `seen` for items with any."""
+    own = words.select("item_id", F.lower("tag").alias("tag")).filter(~is_meta(F.col("tag")) & (F.col("tag") != "")).distinct()
+    new = own.join(cleaned.select("item_id", "tag").distinct(), ["item_id", "tag"], "left_anti")
+    when = items.select("item_id", "source", C.ist_date(F.col("posted_at")).alias("d"))
+    both = cleaned.unionByName(new.join(when, "item_id").withColumn("known", is_known(F.col("tag"))).select(*cleaned.columns))
+    return both.join(own.select("item_id").distinct().withColumn("seen", F.lit(True)), "item_id", "left")
+
+
 def post_counters(cleaned: DataFrame, least: float = 0.5) -> DataFrame:
-    """tag, n_posts, n_fashion: posts of a tag, and those whose tag density is at least `least`."""
+    """tag, n_posts, n_fashion: posts of a tag, and those whose tag density is at least `least` or that vision has seen."""
     each = cleaned.select("item_id", "tag").distinct().join(density(cleaned), "item_id")
+    if "seen" in cleaned.columns:
+        seen = cleaned.filter("seen").select("item_id").distinct().withColumn("vision", F.lit(1.0))
+        each = each.join(seen, "item_id", "left").withColumn("density", F.coalesce("vision", "density"))
     return each.groupBy("tag").agg(F.count("*").alias("n_posts"), F.count(F.when(F.col("density") >= least, 1)).alias("n_fashion"))
 
 

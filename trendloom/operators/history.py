@@ -78,3 +78,19 @@ def latest(rows: DataFrame, keys: list[Column], version: str) -> DataFrame:
     """All rows of each key's newest version; ties stay."""
     w = Window.partitionBy(*keys).orderBy(F.desc(version))
     return rows.withColumn("_r", F.rank().over(w)).filter("_r = 1").drop("_r")
+
+
+def week_momentum(weekly: DataFrame) -> DataFrame:
+    """cluster, week, momentum: change over the week before, null without one or from zero."""
+    before = F.max("score").over(Window.partitionBy("cluster").orderBy("n").rangeBetween(-7, -7))
+    return weekly.withColumn("n", _day("week")).select("cluster", "week", F.when(before > 0, (F.col("score") - before) / before).alias("momentum"))
+
+
+def readable(rows: DataFrame, cluster: str, d: str, entry: str) -> DataFrame:
+    """cluster, d, score, posts, views from entries as JSON text: records, or bare numbers of an older format (the score)."""
+    bare = F.col(entry).try_cast("double")
+    record = F.from_json(entry, "score double, post_count double, youtube_views_total double")
+    none = F.lit(0.0)
+    return rows.select(
+        cluster, d, F.coalesce(bare, record["score"]).alias("score"), F.when(bare.isNull(), F.coalesce(record["post_count"], none)).otherwise(none).alias("posts"), F.when(bare.isNull(), F.coalesce(record["youtube_views_total"], none)).otherwise(none).alias("views")
+    )
