@@ -569,6 +569,21 @@ def test_packing(docs, rows, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_of_one_hot_length(spark):
+    """Many pieces of one length in very small buckets, so that both steps of the prefix sums count."""
+    rows = [(i, "the same words") for i in range(3_000)] + [(5_000 + i, "others here now, " * (i % 3)) for i in range(50)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), packing.PackingParams(bucket_rows=1)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(got) == len(rows) and len(by) == -(-sum(r.length for r in got) // 2048)
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+
+
 def test_tokens_by_word():
     from tokenizers import Tokenizer
 

@@ -212,8 +212,12 @@ def pack(docs: DataFrame, params: PackingParams | None = None) -> DataFrame:
     parts = F.broadcast(spark.createDataFrame([(k, n // p.bucket_rows + 1) for k, n in histogram.items()], "length long, parts long"))
     got = got.join(parts, "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), "parts")).drop("parts")
     counts = got.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    # prefix sums in two steps, so that no task has all buckets of a hot length
+    counts = counts.withColumn("upper", F.expr("bucket div 1000"))
+    earlier = lambda by, c: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tops = counts.groupBy("length", "upper").agg(F.sum("n").alias("n")).select("length", "upper", earlier(["length"], "upper").alias("base"))
+    starts = counts.select("length", "bucket", "upper", earlier(["length", "upper"], "bucket").alias("inner")).join(tops, ["length", "upper"])
+    starts = starts.select("length", "bucket", (F.col("base") + F.col("inner")).alias("first"))
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = got.withColumn("nth", F.row_number().over(inside)).join(starts, ["length", "bucket"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("nth") - 1).alias("rank"))
