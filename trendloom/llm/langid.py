@@ -66,7 +66,7 @@ def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(characters, number of the text of each): each text between spaces, runs of non-letters taken as one space."""
     own = [_chars(" " + t + " ") for t in texts]
     c = np.concatenate(own)
-    row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    row = np.repeat(np.arange(len(own), dtype=np.int32), [len(x) for x in own])
     new = np.ones(len(c), bool)
     new[1:] = (c[1:] != 32) | (c[:-1] != 32) | (row[1:] != row[:-1])
     return c[new], row[new]
