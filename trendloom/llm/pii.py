@@ -39,6 +39,9 @@ class PiiParams:
     remove_at: float = 0.97
     generalise_at: float = 0.92
     filter_bits: int = 1 << 23
+    #: One in so many documents is counted first, some thousand of them in a task; the result does not depend on either.
+    first_part: int = 16
+    first_rows: int = 10_000
     #: Revealing terms that are sent to the workers as they are; more of them are found by joins.
     send_terms: int = 200_000
 
@@ -148,7 +151,7 @@ def _has(bits: np.ndarray, word: str) -> bool:
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame, p: PiiParams) -> DataFrame:
-    """term, n: in how many documents each of the terms stands."""
+    """term, n: in how many documents each of the terms stands; a few other terms too, as the bitmap lets them through."""
     import pyarrow as pa
 
     sent = docs.sparkSession.sparkContext.broadcast(_bits(terms, p.filter_bits))
@@ -166,8 +169,7 @@ def _document_counts(docs: DataFrame, terms: DataFrame, p: PiiParams) -> DataFra
     def emit(n):
         return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
 
-    found = docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return found.join(terms.select("term"), "term", "left_semi")
+    return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def _disclosure(n_te: Column, n_t: Column, n_e: Column, n: int) -> Column:
@@ -179,13 +181,20 @@ def revealing_terms(docs: DataFrame, p: PiiParams) -> DataFrame:
     near = materialize(_mentions(docs, p), "mentions")
     joint = near.filter(F.col("term").isNotNull()).groupBy("term", "entity").agg(F.countDistinct("doc").alias("n_te"))
     entities = near.groupBy("entity").agg(F.countDistinct("doc").alias("n_e"))
-    # in how many documents a term is near any entity: at most n_t, so disclosure is at most what follows from it, and
-    # the words that this leaves below the line need no count over all documents
+    # in how many documents a term is near any entity: at most n_t, so disclosure is at most what follows from it; words
+    # that this leaves below the line need no count over all documents
     anywhere = near.filter(F.col("term").isNotNull()).groupBy("term").agg(F.countDistinct("doc").alias("n_any"))
     n = docs.count()
     # entities of equal counts say the same of a term: a common word has a few rows here, not one for each entity
     joint = materialize(joint.join(entities, "entity").select("term", "n_te", "n_e").distinct().join(anywhere, "term"), "joint")
-    possible = materialize(joint.filter(_disclosure(F.col("n_te"), F.col("n_any"), F.col("n_e"), n) >= p.generalise_at), "possible")
+    enough = _disclosure(F.col("n_te"), F.col("n_least"), F.col("n_e"), n) >= p.generalise_at
+    possible = materialize(joint.withColumnRenamed("n_any", "n_least").filter(enough), "possible")
+    # a part of the documents, read by few tasks, bounds n_t from below as well: it takes out common words, which every
+    # task would count, and leaves the rare ones
+    part = docs.filter(F.pmod(F.xxhash64("version"), F.lit(p.first_part)) == 0).coalesce(n // (p.first_part * p.first_rows) + 1)
+    few = _document_counts(part, possible.select("term").distinct(), p).withColumnRenamed("n", "n_few")
+    possible = possible.join(few, "term", "left").withColumn("n_least", F.greatest("n_least", F.coalesce("n_few", F.lit(0))))
+    possible = materialize(possible.filter(enough).drop("n_few"), "possible")
     if possible.isEmpty():
         return possible.select("term", F.lit("").alias("action"), F.lit(0.0).alias("disclosure"))
     j = possible.join(_document_counts(docs, possible.select("term").distinct(), p), "term")
