@@ -111,25 +111,23 @@ def anchors(buf: np.ndarray, offs: np.ndarray, p: SuffixParams) -> tuple[np.ndar
 
 
 def _occurrences(docs: DataFrame, p: SuffixParams) -> DataFrame:
-    """key, around (a hash of the surroundings), place (a name), doc_id, version, pos of each anchor."""
+    """key, around (a hash of the surroundings), doc_id, version, pos of each anchor."""
     import pyarrow as pa
     from pyspark.sql.types import IntegerType, LongType
 
     before = p.length - p.anchor
     schema = docs.select("doc_id", "version").schema
-    for name, kind in (("key", LongType()), ("around", LongType()), ("place", LongType()), ("pos", IntegerType())):
+    for name, kind in (("key", LongType()), ("around", LongType()), ("pos", IntegerType())):
         schema = schema.add(name, kind)
 
     def run(batches):
         for batch in batches:
-            versions = batch.column("version").to_numpy(zero_copy_only=False).view(np.uint64)
             for i, _, buf, offs in text_slices(batch.column("text")):
                 place, keys, row = anchors(buf, offs, p)
                 first, end = np.maximum(offs[row], place - before), np.minimum(offs[row + 1], place + p.length)
                 around = mix(span_hashes(prefix_sums(buf), first, end) + (place - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 at, pos = pa.array(row + i), place - offs[row]
-                named = mix(versions[row + i] + pos.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-                arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), *(pa.array(x.view(np.int64)) for x in (keys, around, named)), pa.array(pos.astype(np.int32))]
+                arrays = [batch.column("doc_id").take(at), batch.column("version").take(at), *(pa.array(x.view(np.int64)) for x in (keys, around)), pa.array(pos.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
     return docs.select("doc_id", "version", "text").mapInArrow(run, schema)
@@ -185,9 +183,13 @@ def _matched(p: SuffixParams):
     return run
 
 
+def _place():
+    return F.xxhash64("version", "pos")
+
+
 def _kinds(found: DataFrame, rows: int, p: SuffixParams) -> DataFrame:
-    """key, around, place, n of each distinct suffix with its surroundings; equal ones are counted before they are dealt out."""
-    small = found.select("key", "around", "place", F.lit(1).cast("long").alias("n")).mapInArrow(_matched(p), KINDS_SCHEMA)
+    """key, around, place (of one of them), n of each distinct suffix with its surroundings; equal ones are counted before they are dealt out."""
+    small = found.select("key", "around", _place().alias("place"), F.lit(1).cast("long").alias("n")).mapInArrow(_matched(p), KINDS_SCHEMA)
     return small.repartition(rows // p.task_anchors + 1, "key", "around").mapInArrow(_matched(p), KINDS_SCHEMA)
 
 
@@ -350,14 +352,16 @@ def repeats(docs: DataFrame, params: SuffixParams | None = None) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("version", F.xxhash64("doc_id", "text"))
     found = materialize(_occurrences(docs, p), "occurrences")
     kinds = materialize(_kinds(found, found.count(), p), "kinds")
-    whole = found.join(kinds.filter("n > 1").select("key", "around"), ["key", "around"], "left_semi")
-    spans = whole.select("doc_id", "version", (F.col("pos") - (p.length - p.anchor)).alias("start"), (F.col("pos") + p.length).alias("end"))
     open_keys = kinds.groupBy("key").agg(F.count("*").alias("k"), F.min("n").alias("least")).filter("k > 1 AND least = 1").select("key", "k")
-    chosen = materialize(kinds.join(open_keys, "key").select("key", "place", "k"), "chosen")
+    told = kinds.join(open_keys, "key", "left").filter("n > 1 OR k IS NOT NULL")
+    sent = F.col("k").isNotNull() & ((F.col("n") == 1) | (_place() == F.col("place")))  # one anchor of each surroundings
+    marked = found.join(told, ["key", "around"]).select("doc_id", "version", "pos", "key", "k", (F.col("n") > 1).alias("whole"), sent.alias("sent"))
+    marked = materialize(marked.filter("whole OR sent"), "marked")
+    spans = marked.filter("whole").select("doc_id", "version", (F.col("pos") - (p.length - p.anchor)).alias("start"), (F.col("pos") + p.length).alias("end"))
+    chosen = marked.filter("sent").select("doc_id", "version", "pos", "key", "k")
     size = chosen.count()
     if size:
-        places = found.select("doc_id", "version", "pos", "key", "place").join(chosen.select("place").distinct(), "place", "left_semi")
-        near = _surroundings(docs, places, p)
+        near = _surroundings(docs, chosen, p)
         hot = materialize(chosen.filter(F.col("k") > p.group_rows).select("key").distinct(), "hot")
         parts = size // p.task_rows + 1
         if hot.isEmpty():
