@@ -594,6 +594,32 @@ def test_tokens_by_word():
         assert own.ids(text) == array("I", tok.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
 
 
+def test_tokens_of_letters():
+    """Words of letters skip the pre-tokenizer, whatever the letters; a small cache forgets words but not ids."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    own, rng = packing.Tokens(packing.default_tokenizer(), 100), random.Random(6)
+    letters = [c for c in map(chr, range(0x21, 0x1680)) if c.isalpha()]
+    full, encode = [], own.words.encode
+    own.words.encode = lambda s: full.append(s) or encode(s)
+    for c in letters:
+        text = f"{c} a{c}b, {c}{c}\n{c}z {rng.choice(letters)}{c}.\n{c}!"
+        assert own.ids(text) == array("I", tok.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
+        assert len(own.words.now) + len(own.words.old) <= 120
+    assert not full
+    for mark in packing._MARKS:
+        text = " ".join(f"ab{mark * n} é{mark}c" for n in range(1, 7)) + f"\nab{mark * 4}\n{mark}"
+        assert own.ids(text) == array("I", tok.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
+    assert not any(s.startswith(" ab") and len(s) < 8 for s in full)
+    full.clear()
+    long = "x" * 50
+    text = f"{long}, {long}.\n{long} 12&& {long}1"
+    assert own.ids(text) == array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
+    assert set(full) == {" 12&&", f" {long}1"}
+    assert not any(long in w for w in own.words.now)
+
+
 def test_mixing(docs, spark, empty, tmp_path):
     import duckdb
     import pyarrow.parquet as pq

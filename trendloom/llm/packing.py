@@ -37,26 +37,68 @@ class PackingParams:
     tokenizer_path: str | None = None
     #: Pieces that one sub-bucket of a length holds, about.
     bucket_rows: int = 1_000
-    #: Words whose ids a worker remembers; it starts anew beyond that.
+    #: Words whose ids a worker remembers, about; beyond that it forgets those that were not met for half as many new ones.
     cache_words: int = 400_000
 
 
-class WordCache(dict):
-    """Ids (little-endian uint32) of a word after a fixed prefix, computed once for each word."""
+#: ASCII characters that are no letters, digits or blanks; the pattern has more to say about apostrophes.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    def __init__(self, encode, prefix: str, limit: int):
-        super().__init__()
-        self.encode, self.prefix, self.limit = encode, prefix, limit
-        self.marks = {c: array("I", encode(c)).tobytes() for c in ".,;:!?"}
 
-    def __missing__(self, word: str) -> bytes:
-        if word[-1] in self.marks and word[:-1].isalpha():  # letters and the mark after them are tokens of their own
-            return self[word[:-1]] + self.marks[word[-1]]
-        ids = array("I", self.encode(self.prefix + word)).tobytes()
-        if len(self) >= self.limit:
-            self.clear()
+class ByteChars(dict):
+    """The byte-level pre-tokenizer's characters for a character's bytes."""
+
+    #: A byte that is no visible latin-1 character is shown by the next character from 256 on.
+    SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+
+    def __missing__(self, char: str) -> str:
+        self[char] = char.encode().decode("latin-1").translate(self.SHOWN)  # as many as there are letters
+        return self[char]
+
+
+class WordCache:
+    """Ids (little-endian uint32) of words; a word stands after a blank, unless it begins with the line feed before it.
+
+    Letters after a blank are one unit of the pre-tokenizer's pattern, so the tokenizer's model gets them at once.
+    """
+
+    def __init__(self, tok, limit: int):
+        self.encode = lambda s: array("I", tok.encode(s, add_special_tokens=False).ids).tobytes()
+        self.model, self.chars, self.limit = tok.model, ByteChars(), limit
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}  # what `now` was when it held half the limit
+        self.marks = {c * n: self.encode(c * n) for c in _MARKS for n in range(1, 5)}
+        self.line = self.encode("\n")
+
+    def ids(self, words: list[str]) -> bytes:
+        """The ids of words that follow each other."""
+        if len(self.now) >= self.limit // 2:
+            self.old, self.now = self.now, {}
+        out = list(map(self.now.get, words))
+        for k in [k for k, x in enumerate(out) if x is None]:
+            out[k] = self.word(words[k])
+        return b"".join(out)
+
+    def letters(self, blank: str, word: str) -> bytes:
+        shown = blank + (word if word.isascii() else "".join([self.chars[c] for c in word]))
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        ids = self.now.get(word)
+        if ids is not None:
+            return ids
+        ids = self.old.get(word)
+        if ids is None:
+            if word.isalpha():
+                ids = self.letters("Ġ", word)
+            elif (mark := self.marks.get(word[len(core := word.rstrip(_MARKS)) :])) and core.lstrip("\n").isalpha():  # letters and the marks after them are units of their own
+                return self.word(core) + mark
+            elif word[0] != "\n":
+                ids = self.encode(" " + word)
+            else:
+                ids = self.line + (self.letters("", word[1:]) if word[1:].isalpha() else self.encode(word[1:]))
         if len(word) <= 40:
-            self[word] = ids
+            self.now[word] = ids
         return ids
 
 
@@ -73,8 +115,7 @@ class Tokens:
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
         self.encode = lambda s: tok.encode(s, add_special_tokens=False).ids
-        self.bare, self.blank = WordCache(self.encode, "", cache_words // 4), WordCache(self.encode, " ", cache_words)
-        self.line = array("I", self.encode("\n")).tobytes()
+        self.words = WordCache(tok, cache_words)
 
     def ids(self, text: str) -> bytes:
         """The text's ids as little-endian uint32."""
@@ -83,13 +124,7 @@ class Tokens:
         if text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _EXOTIC.search(text):
             return array("I", self.encode(text)).tobytes()
         # now each blank begins a token, and each line feed is one
-        out, bare, blank = [], self.bare, self.blank.__getitem__
-        for line in text.split("\n"):
-            words = line.split(" ")
-            out.append(self.line)
-            out.append(bare[words[0]])
-            out.extend(map(blank, words[1:]))
-        return b"".join(out[1:])
+        return self.words.ids(("\n" + text.replace("\n", " \n")).split(" "))[4:]
 
 
 _TOKENS: dict[tuple, Tokens] = {}
