@@ -80,17 +80,17 @@ def group_palettes(rows: DataFrame, by: str, threshold: float = 10.0, least: flo
     return grouped.mapInPandas(run, schema)
 
 
-def kmeans(points: np.ndarray, weight: np.ndarray, k: int, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """Weighted Lloyd iterations from a deterministic farthest-point start: (centres, labels)."""
-    k = max(1, min(k, len(points)))
-    centres = [points[int(weight.argmax())]]
+def kmeans(points: np.ndarray, weight: np.ndarray, k: int, rounds: int = 50, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted Lloyd iterations from a deterministic farthest-point start: (centres, labels); start weighs the points in it."""
+    k, start = max(1, min(k, len(points))), weight if start is None else start
+    centres = [points[int(start.argmax())]]
     for _ in range(k - 1):
         gap = np.min([((points - c) ** 2).sum(1) for c in centres], axis=0)
-        centres.append(points[int((gap * weight).argmax())])
+        centres.append(points[int((gap * start).argmax())])
     c = np.array(centres)
     label = np.zeros(len(points), int)
     for _ in range(rounds):
-        new = ((points[:, None] - c[None]) ** 2).sum(2).argmin(1)
+        new = np.stack([((points - x) ** 2).sum(1) for x in c], 1).argmin(1)
         c2 = np.array([np.average(points[new == i], axis=0, weights=weight[new == i]) if weight[new == i].sum() > 0 else c[i] for i in range(k)])
         if (new == label).all() and np.allclose(c2, c):
             break
@@ -99,18 +99,23 @@ def kmeans(points: np.ndarray, weight: np.ndarray, k: int, rounds: int = 50) ->
 
 
 def pixel_palettes(pixels: DataFrame, by: str, k: int = 5, per_cluster: int = 50) -> DataFrame:
-    """by, rank, l, a, b, share: k-means over a group's pixels, with fewer clusters for few pixels."""
+    """by, rank, l, a, b, share: k-means over a group's pixels, with fewer clusters for few pixels.
+
+    Equal pixels are counted before they are sent, so a task holds a group's different colours, however many its pixels; each
+    colour weighs 1 in the start, as each pixel would.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["l", "a", "b"])
-        pts = pdf[["l", "a", "b"]].to_numpy()
-        c, label = kmeans(pts, np.ones(len(pts)), min(k, max(1, len(pts) // per_cluster)))
-        n = np.bincount(label, minlength=len(c))
+        pts, count = pdf[["l", "a", "b"]].to_numpy(), pdf["n"].to_numpy()
+        c, label = kmeans(pts, count.astype(float), min(k, max(1, int(count.sum()) // per_cluster)), start=np.ones(len(pts)))
+        n = np.bincount(label, count, len(c))
         order = np.argsort(-n, kind="stable")
         order = order[n[order] > 0]
         return pd.DataFrame({by: pdf[by].iloc[0], "rank": np.arange(1, len(order) + 1, dtype=np.int32), "l": c[order, 0], "a": c[order, 1], "b": c[order, 2], "share": n[order] / n.sum()})
 
-    return pixels.groupBy(by).applyInPandas(run, pixels.select(by).schema.add("rank", "integer").add("l", "double").add("a", "double").add("b", "double").add("share", "double"))
+    counted = pixels.groupBy(by, "l", "a", "b").agg(F.count("*").alias("n"))
+    return counted.groupBy(by).applyInPandas(run, pixels.select(by).schema.add("rank", "integer").add("l", "double").add("a", "double").add("b", "double").add("share", "double"))
 
 
 def frame_quality(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
