@@ -263,7 +263,7 @@ _LAB = f"""hx AS (SELECT DISTINCT hex, concat('0x', substr(hex, 2, 2))::INT::DOU
 
 
 def lab_colors(d: Data):
-    h = d.groups.select("hex").distinct()
+    h = d.lines("groups").select("hex").distinct()
     return h.select("hex", *[c.alias(n) for c, n in zip(color.rgb_lab(*color.hex_channels(F.col("hex"))), ("l", "a", "b"), strict=True)])
 
 
@@ -332,12 +332,12 @@ def _(d: Data):
 @query("L4_pixel_palette")
 def _(d: Data):
     lab = color.rgb_lab(*color.hex_channels(F.col("hex")))
-    return palette.pixel_palettes(d.groups.select("silhouette", *[c.alias(n) for c, n in zip(lab, ("l", "a", "b"), strict=True)]), "silhouette")
+    return palette.pixel_palettes(d.lines("groups").select("silhouette", *[c.alias(n) for c, n in zip(lab, ("l", "a", "b"), strict=True)]), "silhouette")
 
 
 @query("E34_technique_words", "SELECT lower(trim(technique_word)) AS word, CAST(count(*) AS BIGINT) AS n FROM groups WHERE technique_word IS NOT NULL GROUP BY 1")
 def _(d: Data):
-    return d.groups.filter(F.col("technique_word").isNotNull()).groupBy(F.lower(F.trim("technique_word")).alias("word")).agg(F.count("*").alias("n"))
+    return d.lines("groups").filter(F.col("technique_word").isNotNull()).groupBy(F.lower(F.trim("technique_word")).alias("word")).agg(F.count("*").alias("n"))
 
 
 @query("J15_vision_words", """WITH w AS (SELECT item_id, 'vision_garment' AS kind, lower(trim(upper_word)) AS word FROM groups UNION ALL SELECT item_id, 'vision_fabric', lower(trim(fabric_word)) FROM groups UNION ALL SELECT item_id, 'vision_technique', lower(trim(technique_word)) FROM groups)

@@ -360,4 +360,4 @@ def _(d: Data):
 
 @query("C13_word_keys", f"SELECT DISTINCT {case('upper_word', vocab.GARMENT_WORDS).replace('CASE upper_word', 'CASE translate(lower(trim(upper_word)), ' + chr(39) + ' -' + chr(39) + ', ' + chr(39) + '__' + chr(39) + ')')} AS garment, upper_word FROM groups")
 def _(d: Data):
-    return d.groups.select(C.lookup(C.norm_word(F.col("upper_word")), vocab.GARMENT_WORDS).alias("garment"), "upper_word").distinct()
+    return d.lines("groups").select(C.lookup(C.norm_word(F.col("upper_word")), vocab.GARMENT_WORDS).alias("garment"), "upper_word").distinct()

@@ -14,7 +14,7 @@ _FIXED = ["#FFFFFF", "#000000", "#808080"]
 
 
 def _pixels(d: Data) -> DataFrame:
-    return d.groups.select(F.coalesce("fabric_word", F.lit("none")).alias("fabric"), F.concat_ws("/", F.coalesce("fabric_word", F.lit("none")), "upper_word").alias("object"), F.upper("hex").alias("hex"), (F.col("n_objects") + 1).alias("n"), F.lit(1_000_000).alias("frame_area"))
+    return d.lines("groups").select(F.coalesce("fabric_word", F.lit("none")).alias("fabric"), F.concat_ws("/", F.coalesce("fabric_word", F.lit("none")), "upper_word").alias("object"), F.upper("hex").alias("hex"), (F.col("n_objects") + 1).alias("n"), F.lit(1_000_000).alias("frame_area"))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -46,5 +46,5 @@ def _(d: Data):
 
 @query("D14_nearest_preset")
 def _(d: Data):
-    near = object_palette.nearest_preset(d.groups, object_palette.preset(_pixels(d).select("hex", "n"), fixed=_FIXED))
+    near = object_palette.nearest_preset(d.lines("groups"), object_palette.preset(_pixels(d).select("hex", "n"), fixed=_FIXED))
     return near.withColumn("distance", F.round("distance", 4))

@@ -23,6 +23,10 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return bindings.table(self._spark, self._dir, name)
 
+    def lines(self, name: str) -> DataFrame:
+        """A relation of lines as they come, for what doesn't group them by item."""
+        return bindings.relation(self._spark, self._dir, name, by_item=False)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in bindings.RELATIONS:
             raise AttributeError(name)

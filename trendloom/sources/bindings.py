@@ -5,6 +5,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of a table's files for each part that its rows are dealt to.
+PART_BYTES = 4 << 20
 
 ITEMS = """
 SELECT CAST(o.o_orderkey AS STRING) AS item_id, o.o_orderkey AS seq,
@@ -93,14 +97,39 @@ RELATIONS = {
     "snapshots": SNAPSHOTS, "history": HISTORY, "accounts": ACCOUNTS, "weekly": WEEKLY,
 }
 
+#: Relations of lines that are grouped by item.
+BY_ITEM = ("groups", "tags", "item_brands")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A relation of RELATIONS as a DataFrame."""
+def parts(df: DataFrame) -> int:
+    """How many parts the rows of a table are dealt to: the session's number, more if its files are large, so that what a task holds doesn't grow with them."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def _by_item(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """A relation of lines with the rows of its text. Lines are dealt by item_id once: what numbers an item's lines, groups them or joins items finds them together."""
+    join = re.search(r"\{lineitem\} l JOIN \{(\w+)\} (\w) ON l\.(\w+) = \w\.(\w+)", text)
+    other, name, left, right = join.groups()
+    lines, more = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, other)
+    item, n = F.col("l_orderkey").cast("string"), parts(lines)
+    if left == "l_orderkey":  # the same key
+        rows = lines.withColumn("item_id", item).repartition(n, "item_id").join(more.withColumn("item_id", F.col(right).cast("string")), "item_id")
+    else:
+        rows = lines.join(more, F.col(left) == F.col(right)).withColumn("item_id", item).repartition(n, "item_id")
+    text = re.sub(rf"\b{name}\.(?={name}_)", "l.", text.replace(join.group(), "{lines} l"))
+    return spark.sql(text.replace("CAST(l.l_orderkey AS STRING) AS item_id", "l.item_id").replace("PARTITION BY l.l_orderkey", "PARTITION BY l.item_id"), lines=rows)
+
+
+def relation(spark: SparkSession, sf_dir: str, name: str, by_item: bool = True) -> DataFrame:
+    """A relation of RELATIONS as a DataFrame; by_item: one of lines is dealt by item_id."""
     text = RELATIONS[name]
+    if by_item and name in BY_ITEM:
+        return _by_item(spark, sf_dir, text)
     return spark.sql(text, **{t: table(spark, sf_dir, t) for t in set(re.findall(r"\{(\w+)\}", text))})
 
 
