@@ -41,11 +41,12 @@ def with_vision(cleaned: DataFrame, words: DataFrame, items: DataFrame) -> DataF
 
 def post_counters(cleaned: DataFrame, least: float = 0.5) -> DataFrame:
     """tag, n_posts, n_fashion: posts of a tag, and those whose tag density is at least `least` or that vision has seen."""
-    each = cleaned.select("item_id", "tag").distinct().join(density(cleaned), "item_id")
-    if "seen" in cleaned.columns:
-        seen = cleaned.filter("seen").select("item_id").distinct().withColumn("vision", F.lit(1.0))
-        each = each.join(seen, "item_id", "left").withColumn("density", F.coalesce("vision", "density"))
-    return each.groupBy("tag").agg(F.count("*").alias("n_posts"), F.count(F.when(F.col("density") >= least, 1)).alias("n_fashion"))
+    seen = F.coalesce(F.bool_or("seen"), F.lit(False)) if "seen" in cleaned.columns else F.lit(False)
+    own = cleaned.filter("item_id IS NOT NULL").groupBy("item_id").agg(F.collect_set(F.struct("tag", "known")).alias("t"), seen.alias("vision"))  # one item's tags
+    known = F.filter("t", lambda x: x["known"].isNotNull())
+    density = F.size(F.filter(known, lambda x: x["known"])) / F.nullif(F.size(known), F.lit(0))
+    each = own.select(F.explode(F.array_distinct(F.transform("t", lambda x: x["tag"]))).alias("tag"), (F.col("vision") & F.lit(least <= 1.0) | (density >= least)).alias("fashion"))
+    return each.groupBy("tag").agg(F.count("*").alias("n_posts"), F.count(F.when(F.col("fashion"), 1)).alias("n_fashion"))
 
 
 def signals(cleaned: DataFrame, anchor: date, dense: float = 0.5) -> DataFrame:
