@@ -72,7 +72,8 @@ def contributions(fanout: DataFrame, items: DataFrame, base_unit: float = 1.0) -
 def representatives(contrib: DataFrame) -> DataFrame:
     """cluster, total, share by source, distinct items; clusters without mass go."""
     by = lambda s: F.sum(F.when(F.col("source") == s, F.col("contribution")).otherwise(0.0))
-    out = contrib.groupBy("cluster").agg(F.sum("contribution").alias("total"), by("instagram").alias("ig"), by("youtube").alias("yt"), F.countDistinct("item_id").alias("n_items"))
+    each = contrib.groupBy("item_id", "cluster").agg(F.sum("contribution").alias("total"), by("instagram").alias("ig"), by("youtube").alias("yt"))  # no items beyond the first shuffle
+    out = each.groupBy("cluster").agg(F.sum("total").alias("total"), F.sum("ig").alias("ig"), F.sum("yt").alias("yt"), F.count("item_id").alias("n_items"))
     return out.filter("total > 0").select("cluster", "total", (F.col("ig") / F.col("total")).alias("ig_share"), (F.col("yt") / F.col("total")).alias("yt_share"), "n_items")
 
 
