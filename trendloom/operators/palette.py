@@ -41,6 +41,35 @@ def merge_colors(lab: np.ndarray, weight: np.ndarray, family: list[str | None],
     return lab[keep], weight[keep], [family[k] for k in keep]
 
 
+#: Sets of fewer colours are merged many at once.
+SMALL = 8
+
+
+def merge_many(lab: np.ndarray, weight: np.ndarray, family: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """merge_colors of many sets of n colours each, step by step for all at once; families are places in COLOR_FAMILIES, merged colours weigh 0."""
+    lab, weight, family = lab.copy(), weight.copy(), family.copy()
+    n = weight.shape[1]
+    far = np.sqrt(((lab[:, :, None] - lab[:, None]) ** 2).sum(3))
+    far[:, *np.tril_indices(n)] = np.inf
+    order, at, sets = np.where(family < 0, len(vocab.COLOR_FAMILIES), family), np.arange(n), np.arange(len(weight))
+    while len(sets):
+        flat = far[sets].reshape(len(sets), n * n)
+        near = flat.argmin(1)
+        on = flat[np.arange(len(sets)), near] < threshold
+        sets, (i, j) = sets[on], divmod(near[on], n)
+        wi, wj = weight[sets, i], weight[sets, j]
+        taken = np.where((wj > wi) | ((wj == wi) & (order[sets, j] < order[sets, i])), j, i)
+        total = wi + wj
+        lab[sets, i] = (wi[:, None] * lab[sets, i] + wj[:, None] * lab[sets, j]) / total[:, None]
+        weight[sets, i], weight[sets, j] = total, 0
+        family[sets, i], order[sets, i] = family[sets, taken], order[sets, taken]
+        far[sets, j, :] = far[sets, :, j] = np.inf
+        dist = np.where(weight[sets] > 0, np.sqrt(((lab[sets] - lab[sets, i][:, None]) ** 2).sum(2)), np.inf)
+        far[sets, i, :] = np.where(at > i[:, None], dist, np.inf)
+        far[sets, :, i] = np.where(at < i[:, None], dist, far[sets, :, i])
+    return lab, weight, family
+
+
 def largest(weight: np.ndarray, least: float, k: int) -> np.ndarray:
     """Places of the heaviest k whose share is at least `least`."""
     total = weight.sum()
@@ -65,19 +94,44 @@ def group_palettes(rows: DataFrame, by: str, threshold: float = 10.0, least: flo
     grouped = own.groupBy(by).agg(colors.alias("colors"))
     schema = own.select(by).schema.add("rank", "integer").add("family", "string").add("l", "double").add("a", "double").add("b", "double").add("share", "double")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        families = pa.array(vocab.COLOR_FAMILIES)
+        for batch in batches:
+            lists = batch.column(1)
+            start, size = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py(), np.diff(lists.offsets.to_numpy())
+            each = lists.flatten()
+            lab_of = np.stack([each.field(c).to_numpy(zero_copy_only=False) for c in ("l", "a", "b")], 1)
+            weight_of = -each.field("w").to_numpy(zero_copy_only=False)
+            family_of = pc.fill_null(pc.index_in(each.field("family"), families), -1).to_numpy(zero_copy_only=False)
             out = []
-            for name, own_colors in zip(pdf[by], pdf["colors"], strict=True):
-                points = np.array([(c["l"], c["a"], c["b"]) for c in own_colors])
-                lab, weight, family = merge_colors(points, -np.array([c["w"] for c in own_colors]), [c["family"] for c in own_colors], threshold)
-                at = largest(weight, least, k)
-                total = weight[at].sum()
-                out += [(name, n, family[x], *lab[x].tolist(), weight[x] / total) for n, x in enumerate(at.tolist(), 1)]
+            for n in np.unique(size).tolist():
+                sets = np.flatnonzero(size == n)
+                if n < SMALL:
+                    at = start[sets][:, None] + np.arange(n)
+                    lab, weight, family = merge_many(lab_of[at], weight_of[at], family_of[at], threshold)
+                    heavy = np.argsort(-weight, 1, kind="stable")
+                    w = np.take_along_axis(weight, heavy, 1)
+                    kept = (w / w.sum(1, keepdims=True) >= least) & (w > 0) & (np.arange(n) < k)
+                    share = w / np.where(kept, w, 0).sum(1, keepdims=True)
+                    row, rank = np.nonzero(kept)
+                    place = heavy[row, rank]
+                    out.append((sets[row], rank + 1, family[row, place], lab[row, place], share[row, rank]))
+                    continue
+                for one in sets.tolist():
+                    own = slice(start[one], start[one] + n)
+                    lab, weight, family = merge_colors(lab_of[own], weight_of[own], [vocab.COLOR_FAMILIES[f] if f >= 0 else None for f in family_of[own]], threshold)
+                    at = largest(weight, least, k)
+                    code = np.array([vocab.COLOR_FAMILIES.index(family[x]) if family[x] else -1 for x in at], int)
+                    out.append((np.full(len(at), one), np.arange(1, len(at) + 1), code, lab[at], weight[at] / weight[at].sum()))
             if out:
-                yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+                row, rank, code, lab, share = (np.concatenate(x) for x in zip(*out, strict=True))
+                named = families.take(pa.array(code, mask=code < 0))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(rank.astype(np.int32)), named, *map(pa.array, lab.T.copy()), pa.array(share)], names=[f.name for f in schema.fields])
 
-    return grouped.mapInPandas(run, schema)
+    return grouped.mapInArrow(run, schema)
 
 
 def kmeans(points: np.ndarray, weight: np.ndarray, k: int, rounds: int = 50, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
