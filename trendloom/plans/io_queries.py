@@ -349,6 +349,7 @@ def _(d: Data):
     root, found = scratch.folder(_spark(d), "sink"), emergence.signals(cleaned(d), date(1997, 11, 14), dense=0.34).withColumn("week", F.lit("1997-11-10").cast("date"))
     for label, t in (("one", _T1), ("two", _T2)):
         emit.emit_signals(emit.ParquetWriter(root, label), found, _at(t))
+    found = scratch.kept(found, "found")  # both batches are written from it
     got = sinks.latest_view(_spark(d), f"{root}/unknown_signal", "unknown_signal")
     return got.select("tag", F.col("count_recent_window").alias("n"), F.col("first_seen").cast("string").alias("first_seen"), F.col("week_start_date").cast("string").alias("week"), "signal_type")
 
