@@ -9,7 +9,7 @@ from trendloom import vocab
 from trendloom.config import EVIDENCE_TOP_K
 from trendloom.functions import columns as C
 from trendloom.operators import axes, distributions, emergence, rows
-from trendloom.plans.cluster_queries import CONTRIB, FAN, MULT, NORMAL, contributions, groups
+from trendloom.plans.cluster_queries import CONTRIB, FAN, MULT, NORMAL, groups
 from trendloom.plans.registry import Data, case, query
 from trendloom.plans.text_queries import CLEAN, POSTS, cleaned
 from trendloom.sources import emit, readers, scratch, sinks
@@ -310,10 +310,12 @@ def _representatives(d: Data, computed_at: str) -> DataFrame:
     from trendloom.plans.weekly_queries import _arguments
 
     own = groups(d)
-    fan, contrib = axes.fanout_normalized(own), contributions(d).withColumn("contribution", F.round("contribution", 9))
+    fan = scratch.kept(axes.fanout_normalized(own), "fan")
+    contrib = scratch.kept(axes.contributions(fan, d.items).withColumn("contribution", F.round("contribution", 9)), "contrib")
     decided, _ = weekly.score_batch(**_arguments(d))
-    shares = fan.withColumnRenamed("share", "w")
-    dists = {name: distributions.share_weighted(own.select("item_id", F.col(c).alias("value")).join(shares, "item_id"), "cluster", "value", "w") for name, c in _DISTS.items()}
+    shared = fan.join(own.select("item_id", *_DISTS.values()), "item_id")
+    parts = scratch.kept(distributions.drilldown(shared, list(_DISTS.values())), "parts")  # all distributions in one pass
+    dists = {name: parts.filter(F.col("part") == c).select("cluster", "value", "pct") for name, c in _DISTS.items()}
     effective = axes.effective_items(contrib)
     return emit.representative_rows(axes.representatives(contrib), decided, axes.evidence(contrib, EVIDENCE_TOP_K), dists, None, effective, F.lit("2024-04-29").cast("date"), _at(computed_at))
 
@@ -323,7 +325,7 @@ def _representatives(d: Data, computed_at: str) -> DataFrame:
  SELECT t.cluster, CAST(DATE '2024-04-29' AS VARCHAR) AS week, round(total, 6) AS total, round(ef.n, 4) AS effective, ev.ids FROM t CROSS JOIN ef LEFT JOIN ev USING (cluster)""")
 def _(d: Data):
     root, writer = scratch.folder(_spark(d), "sink"), emit.ParquetWriter
-    made = _representatives(d, _T2)
+    made = scratch.kept(_representatives(d, _T2), "made")  # both batches are written from it
     emit.emit_representatives(writer(root, "one"), made.withColumn("computed_at", _at(_T1)).withColumn("total_item_contribution", F.lit(-1.0)))
     emit.emit_representatives(writer(root, "two"), made)
     got = sinks.latest_view(_spark(d), f"{root}/representative_weekly", "representative_weekly")
@@ -334,9 +336,9 @@ def _(d: Data):
 @query("K7_tag_week_latest", f"""WITH {CLEAN}, {POSTS.replace("density >= 0.5", "density >= 0.3")}, n AS (SELECT tag, count(*) AS n, max(known::INT) AS known FROM cl GROUP BY tag) SELECT tag, CAST(n AS BIGINT) AS n_instances, CAST(n_posts AS BIGINT) AS n_posts, CAST(n_fashion AS BIGINT) AS n_fashion, CAST(known AS INT) AS known FROM n JOIN po USING (tag)""")
 def _(d: Data):
     root = scratch.folder(_spark(d), "sink")
+    made = scratch.kept(emit.tag_week_rows(cleaned(d), F.lit("2024-04-29").cast("date"), _at(_T1)), "made")  # both batches are written from it
     for label, t in (("one", _T1), ("two", _T2)):
         emit.ParquetWriter(root, label).write_batch("hashtag_weekly", made.withColumn("computed_at", _at(t)))
-    made = scratch.kept(emit.tag_week_rows(cleaned(d), F.lit("2024-04-29").cast("date"), _at(_T1)), "made")  # both batches are written from it
     got = sinks.latest_view(_spark(d), f"{root}/hashtag_weekly", "hashtag_weekly")
     return got.select("tag", "n_instances", "n_posts", F.col("n_posts_with_known_fashion").alias("n_fashion"), F.col("is_known_mapping").alias("known"))
 
@@ -347,9 +349,9 @@ def _(d: Data):
     from datetime import date
 
     root, found = scratch.folder(_spark(d), "sink"), emergence.signals(cleaned(d), date(1997, 11, 14), dense=0.34).withColumn("week", F.lit("1997-11-10").cast("date"))
+    found = scratch.kept(found, "found")  # both batches are written from it
     for label, t in (("one", _T1), ("two", _T2)):
         emit.emit_signals(emit.ParquetWriter(root, label), found, _at(t))
-    found = scratch.kept(found, "found")  # both batches are written from it
     got = sinks.latest_view(_spark(d), f"{root}/unknown_signal", "unknown_signal")
     return got.select("tag", F.col("count_recent_window").alias("n"), F.col("first_seen").cast("string").alias("first_seen"), F.col("week_start_date").cast("string").alias("week"), "signal_type")
 
